@@ -12,7 +12,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corploom.functions.tokenizers import BpeTokenizer
+from corploom.functions.tokenizers import BpeTokenizer, byte_symbols
 from corploom.operators.instructions import instruction_rows
 from corploom.operators.ordering import rank_in_group
 from corploom.session import scratch_path
@@ -160,21 +160,13 @@ def log_folder(spark, sf, out):
 
 def small_bpe() -> BpeTokenizer:
     """Byte symbols, the merges above, then the end mark."""
-    vocab = {s: b for b, s in enumerate(_byte_symbols())}
+    vocab = {s: b for b, s in enumerate(byte_symbols())}
     for i, pair in enumerate(SMALL_MERGES):
         vocab[pair.replace(" ", "")] = 256 + i
     vocab["<|endoftext|>"] = 256 + len(SMALL_MERGES)
     return BpeTokenizer(json.dumps(vocab), "\n".join(SMALL_MERGES))
 
 
-def _byte_symbols() -> list[str]:
-    """Byte-level alphabet: printable bytes stand for themselves, the others
-    for the code points from 256 on, in byte order."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = iter(range(256, 512))
-    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
-
-
 def small_merge_ids() -> list[tuple[int, int, int]]:
     """(left id, right id, merged id) in merge order."""
     vocab = json.loads(small_bpe().vocab_json)

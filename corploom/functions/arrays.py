@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corploom.functions.tokenizers import DEFAULT_EOS_TEXT, tokenizer
+from corploom.functions.tokenizers import DEFAULT_EOS_TEXT, literal_ids, tokenizer
 
 IGNORE_LABEL = -100  # fixed value: label of positions that carry no loss
 
@@ -23,13 +23,13 @@ def append_eos(
 ) -> DataFrame:
     """End every document with an end mark.
 
-    ``eos_text`` is encoded once on the driver and its ids appended;
+    ``eos_text`` is encoded once and its ids appended to every row;
     ``use_tokenizer_eos`` appends the tokenizer's own id. Choose one.
     """
     if bool(eos_text) == bool(use_tokenizer_eos):
         raise ValueError("give either eos_text or use_tokenizer_eos=True")
     chosen = tokenizer(tok)
-    ids = [chosen.eos_id] if use_tokenizer_eos else chosen.encode_text(eos_text)
+    ids = [chosen.eos_id] if use_tokenizer_eos else literal_ids(df.sparkSession, eos_text, chosen)
     return df.withColumn(tokens, F.concat(F.col(tokens), int_array(ids)))
 
 

@@ -1,8 +1,9 @@
 """Tokenizer registry and the tokenize step.
 
-A tokenizer turns an Arrow string array into an Arrow list<int32> array; Spark
-feeds it whole batches through an Arrow UDF, so no Python object is made per
-row for ``bytes`` and one list per batch for the others.
+Spark cuts a text into parts with a built-in regular expression. An Arrow UDF
+then finds the distinct parts of the batch, has the tokenizer encode only those,
+and lays the ids back out with array operations, so Python sees each distinct
+part of a batch once rather than every word of every row.
 """
 
 from __future__ import annotations
@@ -16,45 +17,59 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values.
 WORD_VOCAB = 50_000  # ids of the "words" tokenizer are below this; its EOS id is this
 BYTES_EOS = 256
 DEFAULT_EOS_TEXT = "<|end_of_text|>"
-WORD_CACHE_LIMIT = 1_000_000  # distinct words a worker remembers before it starts over
+BLANKS = r"[ \t\n\r]+"
+BPE_PARTS = (
+    r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
+
+CACHE_LIMIT = 1_000_000  # distinct words a worker remembers before it starts over
 
 
 def _lists(lengths, values, nulls) -> pa.ListArray:
     offsets = np.zeros(len(lengths) + 1, dtype=np.int32)
     np.cumsum(lengths, out=offsets[1:])
     mask = pa.array(nulls) if nulls.any() else None
-    return pa.ListArray.from_arrays(
-        pa.array(offsets), pa.array(values, pa.int32()), mask=mask
-    )
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()), mask=mask)
+
+
+def _null_mask(rows) -> np.ndarray:
+    return rows.is_null().to_numpy(zero_copy_only=False)
 
 
-def _null_mask(texts) -> np.ndarray:
-    return texts.is_null().to_numpy(zero_copy_only=False)
+def _encode_parts(rows: pa.ListArray, encode) -> pa.ListArray:
+    """Ids of each row's parts; ``encode`` maps distinct parts to id lists."""
+    parts = rows.flatten().dictionary_encode()
+    coded = encode(parts.dictionary.cast(pa.binary()).to_pylist()).take(parts.indices)
+    part_ends = np.concatenate([[0], np.cumsum(coded.value_lengths().to_numpy(), dtype=np.int64)])
+    sizes = rows.value_lengths().fill_null(0).to_numpy()
+    row_ends = part_ends[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])]
+    return _lists(np.diff(row_ends), coded.flatten(), _null_mask(rows))
 
 
 class _WordIds(dict):
-    """word -> id, filled on first sight."""
+    """word bytes -> id, filled on first sight."""
 
     def __init__(self, vocab: int):
         super().__init__()
         self.vocab = vocab
 
-    def __missing__(self, word: str) -> int:
-        found = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % self.vocab
+    def __missing__(self, word: bytes) -> int:
+        found = int(hashlib.md5(word).hexdigest()[:8], 16) % self.vocab
         self[word] = found
         return found
 
 
 @dataclass(frozen=True)
 class WordTokenizer:
-    """Runs of non-blank characters, each hashed to an id."""
+    """Runs of non-blank characters, each hashed to an id. Blanks are space,
+    tab, newline and carriage return."""
 
     vocab: int = WORD_VOCAB
     name: str = "words"
@@ -63,25 +78,21 @@ class WordTokenizer:
     def eos_id(self) -> int:
         return self.vocab
 
+    def parts(self, text: Column) -> Column:
+        return F.split(text, BLANKS)
+
     def encoder(self):
         ids = _WordIds(self.vocab)
 
-        def encode(texts: pa.Array) -> pa.Array:
-            if len(ids) > WORD_CACHE_LIMIT:
+        def distinct(words: list[bytes]) -> pa.ListArray:
+            if len(ids) > CACHE_LIMIT:
                 ids.clear()
-            values, lengths = [], []
-            for text in texts.to_pylist():
-                # blanks are space, tab, newline and carriage return only
-                parts = (text or "").replace("\t", " ").replace("\n", " ").replace("\r", " ")
-                before = len(values)
-                values.extend(map(ids.__getitem__, filter(None, parts.split(" "))))
-                lengths.append(len(values) - before)
-            return _lists(lengths, values, _null_mask(texts))
+            # blanks at either end of a text leave an empty part, which has no id
+            lengths = np.fromiter((1 if w else 0 for w in words), np.int32, len(words))
+            values = np.fromiter((ids[w] for w in words if w), np.int32, int(lengths.sum()))
+            return _lists(lengths, values, np.zeros(len(words), bool))
 
-        return encode
-
-    def encode_text(self, text: str) -> list[int]:
-        return self.encoder()(pa.array([text])).to_pylist()[0]
+        return lambda rows: _encode_parts(rows, distinct)
 
 
 @dataclass(frozen=True)
@@ -91,26 +102,25 @@ class ByteTokenizer:
     name: str = "bytes"
     eos_id: int = BYTES_EOS
 
+    def parts(self, text: Column) -> Column:
+        return F.encode(text, "UTF-8")
+
     def encoder(self):
-        def encode(texts: pa.Array) -> pa.Array:
-            raw = pc.fill_null(texts.cast(pa.binary()), b"")
+        def encode(rows: pa.BinaryArray) -> pa.ListArray:
+            raw = pc.fill_null(rows, b"")
             lengths = pc.binary_length(raw).to_numpy(zero_copy_only=False)
-            joined = b"".join(raw.to_pylist())
-            values = np.frombuffer(joined, dtype=np.uint8).astype(np.int32)
-            return _lists(lengths, values, _null_mask(texts))
+            values = np.frombuffer(b"".join(raw.to_pylist()), dtype=np.uint8)
+            return _lists(lengths, values.astype(np.int32), _null_mask(rows))
 
         return encode
 
-    def encode_text(self, text: str) -> list[int]:
-        return list(text.encode())
-
 
 @dataclass(frozen=True)
 class BpeTokenizer:
     """Byte-level BPE from a vocabulary (JSON word -> id) and ordered merges.
 
     Holds the contents of the two files, a few MB at most, so that executors
-    need no file of their own; each Python worker builds one encoder.
+    need no file of their own; each task builds one encoder.
     """
 
     vocab_json: str
@@ -127,30 +137,33 @@ class BpeTokenizer:
     def eos_id(self) -> int:
         return json.loads(self.vocab_json)[self.eos_token]
 
-    def _build(self):
-        from tokenizers import Tokenizer, models, pre_tokenizers
-
-        lines = [m for m in self.merges_text.splitlines() if m and not m.startswith("#version")]
-        pairs = [tuple(m.split(" ")) for m in lines]
-        built = Tokenizer(models.BPE(vocab=json.loads(self.vocab_json), merges=pairs))
-        built.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
-        return built
+    def parts(self, text: Column) -> Column:
+        return F.regexp_extract_all(text, F.lit(BPE_PARTS), F.lit(0))
 
     def encoder(self):
+        from tokenizers import Tokenizer, models
+
         # Spark already runs one worker per core
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        model = self._build()
+        lines = [m for m in self.merges_text.splitlines() if m and not m.startswith("#version")]
+        pairs = [tuple(m.split(" ")) for m in lines]
+        model = Tokenizer(models.BPE(vocab=json.loads(self.vocab_json), merges=pairs))
+        symbols = dict(enumerate(byte_symbols()))
 
-        def encode(texts: pa.Array) -> pa.Array:
-            rows = [t or "" for t in texts.to_pylist()]
-            ids = [e.ids for e in model.encode_batch(rows, add_special_tokens=False)]
-            flat = np.concatenate([np.asarray(i, np.int32) for i in ids]) if ids else []
-            return _lists([len(i) for i in ids], flat, _null_mask(texts))
+        def distinct(parts: list[bytes]) -> pa.ListArray:
+            spelled = [p.decode("latin-1").translate(symbols) for p in parts]
+            coded = model.encode_batch_fast(spelled, add_special_tokens=False)
+            return pa.array([e.ids for e in coded], pa.list_(pa.int32()))
+
+        return lambda rows: _encode_parts(rows, distinct)
 
-        return encode
 
-    def encode_text(self, text: str) -> list[int]:
-        return self.encoder()(pa.array([text])).to_pylist()[0]
+def byte_symbols() -> list[str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the
+    others for the code points from 256 on, in byte order."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
 
 _registry = {"words": WordTokenizer, "bytes": ByteTokenizer}
@@ -173,13 +186,19 @@ def tokenizer(name_or_obj):
 def tokens_of(text: Column | str, tok="words") -> Column:
     """Token-id array of a text column; null text gives null."""
     chosen = tokenizer(tok)
+    text = F.col(text) if isinstance(text, str) else text
 
     def encode_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = chosen.encoder()  # once per task; vocabularies travel with the task binary
-        for texts in batches:
-            yield encode(texts)
+        for rows in batches:
+            yield encode(rows)
+
+    return F.arrow_udf(encode_batches, "array<int>")(chosen.parts(text))
+
 
-    return F.arrow_udf(encode_batches, "array<int>")(text)
+def literal_ids(spark: SparkSession, text: str, tok="words") -> list[int]:
+    """Ids of one short text, such as an end mark."""
+    return list(spark.range(1).select(tokens_of(F.lit(text), tok).alias("ids")).first().ids)
 
 
 def tokenize(

@@ -22,6 +22,7 @@ from corploom.session import stage
 
 MAX_SLOTS = 1 << 17
 ROWS_PER_SLOT = 20_000
+KEYS_PER_CUT = 1_000
 
 
 def slots_for(df: DataFrame, rows: int) -> int:
@@ -31,15 +32,20 @@ def slots_for(df: DataFrame, rows: int) -> int:
     return max(1, min(MAX_SLOTS, max(by_size, by_cores)))
 
 
-def key_cuts(df: DataFrame, key: str, slots: int) -> list:
+def key_cuts(df: DataFrame, key: str, slots: int, rows: int) -> list:
     """Lowest key of every slot but the first; at most ``slots - 1`` values.
 
-    Only the key column is read and shuffled. Because the cuts are constants
-    afterwards, a recomputed task puts each row in the same slot again.
+    Only the key column is read. Where to cut decides how even the slots are
+    and nothing else, so on a large table some keys are enough to find the cuts.
+    Because the cuts are constants afterwards, a recomputed task puts each row
+    in the same slot again.
     """
     if slots == 1:
         return []
-    ranged = df.select(key).repartitionByRange(slots, key)
+    keys = df.select(key)
+    if rows > slots * KEYS_PER_CUT:
+        keys = keys.sample(slots * KEYS_PER_CUT / rows, seed=slots)
+    ranged = keys.repartitionByRange(slots, key)
     lows = ranged.groupBy(F.spark_partition_id().alias("p")).agg(F.min(key).alias("low")).collect()
     return sorted(r.low for r in lows if r.low is not None)[1:]
 
@@ -88,9 +94,9 @@ def in_slots(
     from, such as the bare scan, which then reads no other column.
     """
     keys = df if keys is None else keys
-    if slots is None:
-        slots = slots_for(df, keys.select(key).count())
-    cuts = key_cuts(keys, key, slots)
+    rows = keys.select(key).count()
+    slots = slots_for(df, rows) if slots is None else slots
+    cuts = key_cuts(keys, key, slots, rows)
     return stage(df.withColumn("_slot", slot_of(F.col(key), cuts)), "slots"), len(cuts) + 1
 
 
@@ -148,35 +154,43 @@ def order_hash(seed: int, epoch: Column, key: Column | str) -> Column:
 
 
 def shuffled_rank(
-    df: DataFrame, key: str, seed: int, epochs: int = 1, slots: int | None = None, rows: int | None = None
+    df: DataFrame,
+    key: str,
+    seed: int,
+    epochs: int = 1,
+    rows: int | None = None,
+    below: Column | None = None,
+    slots: int | None = None,
 ) -> DataFrame:
     """Rank of every row in each epoch's own seeded order.
 
     Adds ``epoch`` (0-based) and ``rank`` (0-based), ordered by the hash of
     (seed, epoch, key) with the key as tie break. The hash is uniform, so its
     leading 16 bits cut the rows into even slots without looking at the data.
+    ``below`` (may use ``epoch``) keeps the ranks under it; slots that start
+    past it are left out before the sort.
     """
     if slots is None:
         slots = slots_for(df, rows if rows is not None else df.select(key).count())
     slots = max(1, min(slots, 1 << 16))
+    lead = F.conv(F.substring("_h", 1, 4), 16, 10).cast("bigint")
     hashed = (
         df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
         .withColumn("_h", order_hash(seed, F.col("epoch"), key))
-        .withColumn(
-            "_slot",
-            int_div(F.conv(F.substring("_h", 1, 4), 16, 10).cast("bigint") * slots, 65536).cast("int"),
-        )
+        .withColumn("_slot", int_div(lead * slots, 65536).cast("int"))
     )
     starts = _starts(hashed.select("epoch", "_slot"), {"_rows": F.count("*")}, group=("epoch",))
+    if below is not None:
+        starts = starts.where(F.col("_rows") < below)
     if epochs * slots <= MAX_SLOTS:
         starts = F.broadcast(starts)
     w = Window.partitionBy("epoch", "_slot").orderBy("_h", key)
-    return (
-        hashed.withColumn("_row", F.row_number().over(w))
-        .join(starts, ["epoch", "_slot"])
-        .withColumn("rank", (F.col("_rows") + F.col("_row") - 1).cast("bigint"))
-        .drop("_h", "_slot", "_row", "_rows")
+    ranked = (
+        hashed.join(starts, ["epoch", "_slot"])
+        .withColumn("rank", (F.col("_rows") + F.row_number().over(w) - 1).cast("bigint"))
+        .drop("_h", "_slot", "_rows")
     )
+    return ranked if below is None else ranked.where(F.col("rank") < below)
 
 
 def rank_in_group(

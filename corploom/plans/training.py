@@ -36,7 +36,9 @@ def epoch_plan(
     limit = duration_batches(recipe.max_duration, per_epoch)
     epochs = -(-limit // per_epoch)
     if recipe.shuffle:
-        ranked = shuffled_rank(ids, key, recipe.seed, epochs, rows=rows)
+        left = F.lit(limit) - F.col("epoch") * per_epoch
+        wanted = F.least(left, F.lit(per_epoch)) * recipe.global_batch
+        ranked = shuffled_rank(ids, key, recipe.seed, epochs, rows, below=wanted)
     else:
         ranked = with_rank(ids, key).withColumn(
             "epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))
