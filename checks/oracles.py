@@ -327,6 +327,10 @@ ORACLES = {
     "plan_stats": f"""SELECT epoch, batch, count(*) AS n_rows, CAST(sum(used) AS BIGINT) AS n_tokens,
         count(*) * {PAIR_LEN} AS n_positions,
         CAST(sum({PAIR_LEN} - used) AS BIGINT) AS n_padding FROM ({FT_ROWS}) r GROUP BY epoch, batch""",
+    "run_totals": f"""SELECT count(*) AS n_rows, CAST(sum(used) AS BIGINT) AS n_tokens,
+        count(*) * {PAIR_LEN} AS n_positions, CAST(sum({PAIR_LEN} - used) AS BIGINT) AS n_padding,
+        sum({PAIR_LEN} - used)::DOUBLE / (count(*) * {PAIR_LEN})::DOUBLE AS padding_share
+        FROM ({FT_ROWS}) r""",
     "parse_metrics": f"""SELECT
         CASE WHEN NOT is_note THEN run_id END AS run_id, CASE WHEN NOT is_note THEN batch END AS batch,
         CASE WHEN NOT is_note THEN device END AS device, CASE WHEN NOT is_note THEN tokens END AS tokens,

@@ -412,6 +412,10 @@ def plan_stats(spark, sf):
     return batching.plan_stats(rows)
 
 
+def run_totals(spark, sf):
+    return batching.run_totals(finetune.finetune_plan(pairs_of(spark, sf), FINETUNE))
+
+
 # Run metrics
 
 
@@ -535,12 +539,8 @@ def finetune_plan(spark, sf):
 
 
 def run_metrics(spark, sf):
-    rows = metrics_of(spark, sf)
-    speed = speed_columns(metrics.eta(rows, 1000), "eta_sec")
-    folded = rows.groupBy("run_id", "batch").agg(
-        F.max_by("lr", F.struct("ts", "device")).alias("lr"), F.max("mem_bytes").alias("peak_bytes")
-    )
-    return speed.join(folded, ["run_id", "batch"])
+    rows = metrics.run_metrics(metrics_of(spark, sf), 1000)
+    return speed_columns(rows, "eta_sec", "lr", "peak_bytes")
 
 
 QUERIES = {
@@ -555,7 +555,7 @@ QUERIES = {
         keep_splits, keep_subset, token_offsets, pack_samples, pack_keep_tail, pack_bytes,
         shuffle_epochs, ordered_rank, rank_in_run, split_weighted, split_copy,
         assign_batches, drop_last, assign_devices, epoch_plan, batch_limited_plan, unshuffled_epochs, plan_markers,
-        eval_subset, plan_stats,
+        eval_subset, plan_stats, run_totals,
         parse_metrics, rolling_speed, lr_series, memory_peak, eta, console_interval,
         follow_metrics, follow_rolling, stop_following,
         jsonl_to_shards, text_to_shards, dataset_to_shards, instructions_to_pairs,

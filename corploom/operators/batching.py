@@ -60,11 +60,21 @@ def console_batches(df: DataFrame, every: int, batch: str = "batch") -> DataFram
     return df.where(F.col(batch) % every == 0)
 
 
-def plan_stats(plan: DataFrame, used: str = "n_tokens", padded: str = "n_padded") -> DataFrame:
-    """Rows, tokens and padding per batch of a plan with both lengths."""
-    return plan.groupBy("epoch", "batch").agg(
+def _sizes(used: str, padded: str) -> list[Column]:
+    return [
         F.count("*").alias("n_rows"),
         F.sum(used).alias("n_tokens"),
         F.sum(padded).alias("n_positions"),
         F.sum(F.col(padded) - F.col(used)).alias("n_padding"),
-    )
+    ]
+
+
+def plan_stats(plan: DataFrame, used: str = "n_tokens", padded: str = "n_padded") -> DataFrame:
+    """Rows, tokens and padding per batch of a plan with both lengths."""
+    return plan.groupBy("epoch", "batch").agg(*_sizes(used, padded))
+
+
+def run_totals(plan: DataFrame, used: str = "n_tokens", padded: str = "n_padded") -> DataFrame:
+    """The same over the whole run, with the share of padding."""
+    share = F.col("n_padding") / F.col("n_positions")
+    return plan.agg(*_sizes(used, padded)).withColumn("padding_share", share)

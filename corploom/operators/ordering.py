@@ -66,8 +66,11 @@ def slot_of(key: Column | str, cuts: list) -> Column:
     return F.arrow_udf(locate, "int")(key)
 
 
-def _starts(slotted: DataFrame, sums: dict[str, Column], group=()) -> DataFrame:
-    """Per slot: the running total of each sum over the slots before it."""
+def _starts(
+    slotted: DataFrame, sums: dict[str, Column], group=(), total: str | None = None
+) -> DataFrame:
+    """Per slot: the running total of each sum over the slots before it, and
+    under the name ``total`` the first sum over all slots."""
     totals = slotted.groupBy(*group, "_slot").agg(*[c.alias(n) for n, c in sums.items()])
     w = Window.partitionBy(*group).orderBy("_slot")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -75,6 +78,7 @@ def _starts(slotted: DataFrame, sums: dict[str, Column], group=()) -> DataFrame:
         *group,
         "_slot",
         *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(n) for n in sums],
+        *([F.sum(next(iter(sums))).over(Window.partitionBy(*group)).alias(total)] if total else []),
     )
 
 
@@ -114,8 +118,7 @@ def with_offsets(
     """
     sized = df.withColumn("n_tokens", F.coalesce(F.size(F.col(tokens)), F.lit(0)))
     staged, n = in_slots(sized, key, slots, keys)
-    starts = _starts(staged, {"_docs": F.count("*"), "_toks": F.sum("n_tokens")})
-    total = staged.agg(F.count("*").alias("n")).first().n
+    starts = _starts(staged, {"_docs": F.count("*"), "_toks": F.sum("n_tokens")}, total="n_docs")
     w = Window.partitionBy("_slot").orderBy(key)
     run = F.sum("n_tokens").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_tokens")
     placed = (
@@ -127,7 +130,6 @@ def with_offsets(
         placed.join(F.broadcast(starts), "_slot")
         .withColumn("doc_ord", F.col("_docs") + F.col("_row") - 1)
         .withColumn("tok_offset", F.col("_toks") + F.col("_in_slot"))
-        .withColumn("n_docs", F.lit(total).cast("bigint"))
         .drop("_slot", "_docs", "_toks", "_in_slot", "_row")
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from corploom.streaming.metrics import per_batch, rolling_speed
+from corploom.streaming.metrics import per_batch, with_speed
 
 
 def follow_to(stream: DataFrame, out: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
@@ -36,18 +36,14 @@ def follow_rolling(
 
     def step(rows: DataFrame, trigger: int) -> None:
         spark = rows.sparkSession
-        new = per_batch(rows).withColumn("_new", F.lit(True))
+        new = per_batch(rows).select("run_id", "batch", "ts", "tokens", F.lit(True).alias("_new"))
         both = new
         if trigger > 0:
             old = spark.read.parquet(f"{state}/trigger={trigger - 1}")
             both = new.unionByName(old.withColumn("_new", F.lit(False)))
         both = both.persist()
-        rates = rolling_speed(both, window)
-        # every row rated now came after the rows carried over
-        fresh = both.where("_new").select("run_id", "batch")
-        rates.join(fresh, ["run_id", "batch"], "left_semi").write.mode("overwrite").parquet(
-            f"{out}/trigger={trigger}"
-        )
+        rates = with_speed(both, window).where("_new").drop("_new")
+        rates.write.mode("overwrite").parquet(f"{out}/trigger={trigger}")
         last_rows(both.drop("_new"), keep).write.mode("overwrite").parquet(f"{state}/trigger={trigger}")
         both.unpersist()
 
