@@ -142,8 +142,7 @@ def packed(spark, sf, tok="words", eos_id=True):
 
 @fx._once
 def packed_root(spark, sf, out):
-    samples = splits.split_copy(packed(spark, sf), list(SPLITS))
-    writers.write_shards(samples, out, "words", SEQ_LEN)
+    writers.write_shards(packed(spark, sf), out, "words", SEQ_LEN, SPLITS[0], SPLITS[1:])
 
 
 def write_shards(spark, sf):
@@ -153,7 +152,10 @@ def write_shards(spark, sf):
 
 
 def write_split_folders(spark, sf):
-    rows = spark.read.parquet(packed_root(spark, sf))
+    """Rows carry their split; the write makes one folder of each."""
+    out = scratch_path(spark, "folders")
+    writers.write_shards(splits.split_copy(packed(spark, sf), list(SPLITS)), out, "words", SEQ_LEN)
+    rows = spark.read.parquet(out)
     return rows.groupBy("split").agg(
         F.count("*").alias("n_samples"), F.sum("sample_id").alias("sum_ids")
     )

@@ -17,7 +17,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corploom.functions.numbers import int_div
 from corploom.session import stage
 
 MAX_SLOTS = 1 << 17
@@ -150,7 +149,8 @@ def with_rank(df: DataFrame, key: str, out: str = "rank", slots: int | None = No
 
 
 def order_hash(seed: int, epoch: Column, key: Column | str) -> Column:
-    """Seeded sort key; uniform, and the same whatever the partitioning."""
+    """Seeded sort key as 32 hex digits; uniform, and the same whatever the
+    partitioning."""
     key = F.col(key) if isinstance(key, str) else key
     return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), key.cast("string")))
 
@@ -175,11 +175,12 @@ def shuffled_rank(
     if slots is None:
         slots = slots_for(df, rows if rows is not None else df.select(key).count())
     slots = max(1, min(slots, 1 << 16))
-    lead = F.conv(F.substring("_h", 1, 4), 16, 10).cast("bigint")
+    digits = order_hash(seed, F.col("epoch"), key)
+    lead = F.coalesce(F.conv(F.substring(digits, 1, 4), 16, 10).cast("bigint"), F.lit(0))
     hashed = (
         df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
-        .withColumn("_h", order_hash(seed, F.col("epoch"), key))
-        .withColumn("_slot", int_div(lead * slots, 65536).cast("int"))
+        .withColumn("_h", F.unhex(digits))
+        .withColumn("_slot", F.shiftright(lead * slots, 16).cast("int"))
     )
     starts = _starts(hashed.select("epoch", "_slot"), {"_rows": F.count("*")}, group=("epoch",))
     if below is not None:

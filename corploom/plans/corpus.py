@@ -9,7 +9,8 @@ from corploom.functions.arrays import append_eod, append_eos
 from corploom.functions.tokenizers import tokenize
 from corploom.operators.ordering import with_offsets
 from corploom.operators.packing import concat_order, pack
-from corploom.operators.splits import split_copy, split_weighted
+from corploom.operators.splits import split_weighted
+from corploom.session import releasing
 from corploom.sources.readers import scan_dataset, scan_jsonl, scan_shards, scan_text
 from corploom.sources.writers import write_indexed, write_shards
 
@@ -45,8 +46,9 @@ def jsonl_to_shards(
 ) -> DataFrame:
     """JSON-lines corpus to packed shards; every named split gets a full copy."""
     docs = scan_jsonl(spark, path, id_cols=f"{key} bigint")
-    samples = build_corpus(docs, key, tok, seq_len, eos_text=eos_text)
-    return write_shards(split_copy(samples, list(split_names)), out_root, tok, seq_len)
+    with releasing(spark):
+        samples = build_corpus(docs, key, tok, seq_len, eos_text=eos_text)
+        return write_shards(samples, out_root, tok, seq_len, split_names[0], split_names[1:])
 
 
 def text_to_shards(
@@ -58,8 +60,10 @@ def text_to_shards(
     split_names: tuple[str, ...] = ("train",),
 ) -> DataFrame:
     """Text folder to packed shards, documents in file-path order."""
-    samples = build_corpus(scan_text(spark, folder), "file_path", tok, seq_len, use_tokenizer_eos=True)
-    return write_shards(split_copy(samples, list(split_names)), out_root, tok, seq_len)
+    docs = scan_text(spark, folder)
+    with releasing(spark):
+        samples = build_corpus(docs, "file_path", tok, seq_len, use_tokenizer_eos=True)
+        return write_shards(samples, out_root, tok, seq_len, split_names[0], split_names[1:])
 
 
 def dataset_to_shards(
@@ -74,12 +78,11 @@ def dataset_to_shards(
     key: str = "doc_id",
 ) -> DataFrame:
     """Named dataset to packed shards; each split is packed on its own."""
-    for i, name in enumerate(splits):
+    for name in splits:
         docs = scan_dataset(spark, root, subset, (name,))
-        samples = build_corpus(docs, key, tok, seq_len, eos_text=eos_text)
-        written = write_shards(
-            samples, out_root, tok, seq_len, split=name, mode="append" if i else "errorifexists"
-        )
+        with releasing(spark):
+            samples = build_corpus(docs, key, tok, seq_len, eos_text=eos_text)
+            written = write_shards(samples, out_root, tok, seq_len, name)
     return written
 
 
@@ -95,7 +98,8 @@ def jsonl_to_indexed(
     """JSON-lines corpus to the indexed token table, labelled by weighted split."""
     docs = scan_jsonl(spark, path, id_cols=f"{key} bigint")
     tokens = append_eod(tokenize(docs, "text", tok), tok)
-    indexed = write_indexed(with_offsets(tokens, key, keys=docs), out)
+    with releasing(spark):
+        indexed = write_indexed(with_offsets(tokens, key, keys=docs), out)
     return split_weighted(indexed, weights, names, "doc_ord", F.lit(indexed.count()).cast("bigint"))
 
 

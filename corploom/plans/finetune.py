@@ -23,9 +23,9 @@ def instructions_to_pairs(
     preprocessor=default_template,
 ) -> DataFrame:
     """Instruction dataset to raw prompt/response shards."""
-    for i, name in enumerate(splits):
+    for name in splits:
         pairs = format_instructions(scan_instructions(spark, root, name), preprocessor)
-        written = write_pairs(pairs, out_root, mode="append" if i else "errorifexists")
+        written = write_pairs(pairs, out_root, split=name)
     return written
 
 

@@ -12,10 +12,13 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dir: str | None = None
+_staged: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -44,5 +47,22 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return a reader over the written table."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    _staged.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def releasing(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables staged inside the block when it ends, for jobs whose
+    result has been written elsewhere by then."""
+    before = len(_staged)
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for name in _staged[before:]:
+            path = hadoop.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+        del _staged[before:]

@@ -37,26 +37,38 @@ def write_shards(
     tok=None,
     seq_len: int | None = None,
     split: str | None = None,
+    copies: tuple[str, ...] = (),
     compression: str = "zstd",
     rows_per_shard: int | None = None,
     mode: str = "errorifexists",
 ) -> DataFrame:
     """Write samples below ``root``, one folder per split, and the manifest.
 
-    Rows stay in the tasks that made them: packing leaves samples clustered by
-    number, so no shuffle is spent here. ``rows_per_shard`` bounds file size.
-    Returns the manifest.
+    Without ``split`` the rows' own ``split`` column decides. Rows stay in the
+    tasks that made them: packing leaves samples clustered by number, so no
+    shuffle is spent here, and a single split is written without the sort that
+    a partitioned write needs. ``copies`` repeats the written split under other
+    names, file by file. ``rows_per_shard`` bounds file size. Returns the
+    manifest.
     """
     spark = df.sparkSession
-    if split is not None:
-        df = df.withColumn("split", F.lit(split))
     has_tokens = "tokens" in df.columns
     if has_tokens:  # kept beside the array so that counting reads one narrow column
         df = df.withColumn("n_tokens", F.size("tokens"))
-    writer = df.write.mode(mode).option("compression", compression).partitionBy("split")
-    if rows_per_shard:
-        writer = writer.option("maxRecordsPerFile", rows_per_shard)
-    writer.parquet(root)
+
+    def save(rows: DataFrame, to: str, *partition: str) -> None:
+        writer = rows.write.mode(mode).option("compression", compression)
+        if rows_per_shard:
+            writer = writer.option("maxRecordsPerFile", rows_per_shard)
+        writer.partitionBy(*partition).parquet(to)
+
+    if split is None:
+        save(df, root, "split")
+    else:
+        first = f"{root}/split={split}"
+        save(df.drop("split"), first)
+        for name in copies:
+            save(spark.read.parquet(first), f"{root}/split={name}")
     manifest(spark, root, seq_len, tok, has_tokens).coalesce(1).write.mode("overwrite").parquet(
         f"{root}/_manifest"
     )

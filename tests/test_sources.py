@@ -145,3 +145,17 @@ def test_pairs_are_refused_for_a_missing_split(spark, sf):
     assert readers.scan_shards(spark, out, "train").count() > 0
     with pytest.raises(ValueError, match="'val' is not in"):
         readers.scan_shards(spark, out, "val")
+
+
+def test_finished_jobs_leave_nothing_staged(spark, sf, tmp_path):
+    from pathlib import Path
+
+    path = fx.documents_jsonl(spark, sf)
+    kept = Path(shared_dir(spark)) / "corploom"
+    before = {p.name for p in kept.iterdir()}
+    made = corpus.jsonl_to_shards(spark, path, str(tmp_path / "o"), 64, split_names=("train", "val"))
+    assert {p.name for p in kept.iterdir()} == before
+    counts = {r.split: r.n_samples for r in made.collect()}
+    assert counts["train"] == counts["val"] > 0
+    with pytest.raises(Exception, match="exists"):
+        corpus.jsonl_to_shards(spark, path, str(tmp_path / "o"), 64)
