@@ -9,11 +9,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corploom.functions.numbers import int_div
+
 # The prompt template.
 INSTRUCTION_HEAD = "### Instruction:\n"
 CONTEXT_HEAD = "\n\n### Context:\n"
 RESPONSE_HEAD = "\n\n### Response:\n"
 
+TURNS_PER_CHUNK = 1024
+
 
 def default_template(df: DataFrame) -> DataFrame:
     """``instruction, context, response`` to ``prompt, response``; a blank
@@ -54,22 +58,33 @@ def format_instructions(df: DataFrame, preprocessor=default_template, schema: st
     return df.transform(rowwise(fn, schema) if schema else fn)
 
 
-def instruction_rows(turns: DataFrame) -> DataFrame:
+def instruction_rows(turns: DataFrame, chunk: int = TURNS_PER_CHUNK) -> DataFrame:
     """Records from chat turns ``(conv_id, turn, role, text)``: each user turn
     the assistant answers next, with the system text at turn 0 as context.
 
-    Joined on the single turn, so a very long conversation spreads out.
+    Turns pair up on ``(conv_id, turn)``. The context of a conversation goes to
+    chunks of at most ``chunk`` turns, one copy each, so a conversation of any
+    length spreads over tasks while an ordinary one needs a single copy.
     """
     answers = turns.where("role = 'assistant'").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response")
     )
-    system = turns.where("role = 'system' and turn = 0").select(
-        "conv_id", F.col("text").alias("context")
-    )
-    return (
+    pairs = (
         turns.where("role = 'user'")
         .select("conv_id", "turn", F.col("text").alias("instruction"))
         .join(answers, ["conv_id", "turn"])
-        .join(system, "conv_id", "left")
+        .withColumn("_chunk", int_div("turn", chunk))
+    )
+    chunks = turns.groupBy("conv_id").agg(int_div(F.max("turn"), chunk).alias("_last"))
+    system = (
+        turns.where("role = 'system' and turn = 0")
+        .select("conv_id", F.col("text").alias("context"))
+        .join(chunks, "conv_id")
+        .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), "_last")))
+        .drop("_last")
+    )
+    return (
+        pairs.join(system, ["conv_id", "_chunk"], "left")
         .withColumn("context", F.coalesce("context", F.lit("")))
+        .drop("_chunk")
     )

@@ -20,13 +20,14 @@ from pyspark.sql import functions as F
 from corploom.session import stage
 
 MAX_SLOTS = 1 << 17
-ROWS_PER_SLOT = 20_000
+DOCS_PER_SLOT = 20_000
+KEYS_PER_SLOT = 500_000
 KEYS_PER_CUT = 1_000
 
 
-def slots_for(df: DataFrame, rows: int) -> int:
+def slots_for(df: DataFrame, rows: int, per_slot: int) -> int:
     """Enough slots to keep each one task-sized and every core busy."""
-    by_size = -(-rows // ROWS_PER_SLOT)
+    by_size = -(-rows // per_slot)
     by_cores = min(2 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // 64))
     return max(1, min(MAX_SLOTS, max(by_size, by_cores)))
 
@@ -88,19 +89,27 @@ def _checked(key: str, w, value: Column) -> Column:
 
 
 def in_slots(
-    df: DataFrame, key: str, slots: int | None = None, keys: DataFrame | None = None
+    df: DataFrame,
+    key: str,
+    per_slot: int,
+    slots: int | None = None,
+    keys: DataFrame | None = None,
+    written: bool = False,
 ) -> tuple[DataFrame, int]:
-    """``df`` written once with its slot number, and the number of slots.
+    """``df`` with its slot number, and the number of slots.
 
-    This is the only place the upstream plan (scan, tokenizer) is evaluated.
-    ``keys`` may name a cheaper plan with the same key column to take the cuts
-    from, such as the bare scan, which then reads no other column.
+    The result is read twice, so it is written once unless ``df`` is a plain
+    read of a ``written`` table. This is the only place the upstream plan (scan,
+    tokenizer) is evaluated. ``keys`` may name a cheaper plan with the same key
+    column to take the cuts from, such as the bare scan, which then reads no
+    other column.
     """
     keys = df if keys is None else keys
     rows = keys.select(key).count()
-    slots = slots_for(df, rows) if slots is None else slots
+    slots = slots_for(df, rows, per_slot) if slots is None else slots
     cuts = key_cuts(keys, key, slots, rows)
-    return stage(df.withColumn("_slot", slot_of(F.col(key), cuts)), "slots"), len(cuts) + 1
+    slotted = df.withColumn("_slot", slot_of(F.col(key), cuts))
+    return slotted if written else stage(slotted, "slots"), len(cuts) + 1
 
 
 def with_offsets(
@@ -116,7 +125,7 @@ def with_offsets(
     One shuffle of the token rows. Output tasks hold consecutive documents.
     """
     sized = df.withColumn("n_tokens", F.coalesce(F.size(F.col(tokens)), F.lit(0)))
-    staged, n = in_slots(sized, key, slots, keys)
+    staged, n = in_slots(sized, key, DOCS_PER_SLOT, slots, keys)
     starts = _starts(staged, {"_docs": F.count("*"), "_toks": F.sum("n_tokens")}, total="n_docs")
     w = Window.partitionBy("_slot").orderBy(key)
     run = F.sum("n_tokens").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_tokens")
@@ -133,9 +142,11 @@ def with_offsets(
     )
 
 
-def with_rank(df: DataFrame, key: str, out: str = "rank", slots: int | None = None) -> DataFrame:
-    """Dense 0-based rank in ``key`` order."""
-    staged, n = in_slots(df, key, slots)
+def with_rank(
+    df: DataFrame, key: str, out: str = "rank", slots: int | None = None, written: bool = False
+) -> DataFrame:
+    """Dense 0-based rank in ``key`` order; ``written`` as in :func:`in_slots`."""
+    staged, n = in_slots(df, key, KEYS_PER_SLOT, slots, written=written)
     starts = _starts(staged, {"_rows": F.count("*")})
     w = Window.partitionBy("_slot").orderBy(key)
     placed = staged.repartitionById(n, F.col("_slot")).withColumn(
@@ -173,7 +184,7 @@ def shuffled_rank(
     past it are left out before the sort.
     """
     if slots is None:
-        slots = slots_for(df, rows if rows is not None else df.select(key).count())
+        slots = slots_for(df, rows if rows is not None else df.select(key).count(), KEYS_PER_SLOT)
     slots = max(1, min(slots, 1 << 16))
     digits = order_hash(seed, F.col("epoch"), key)
     lead = F.coalesce(F.conv(F.substring(digits, 1, 4), 16, 10).cast("bigint"), F.lit(0))

@@ -26,7 +26,8 @@ def epoch_plan(
 ) -> DataFrame:
     """Epochs repeated until ``max_duration``, each row with its batch.
 
-    Only the key column is read from ``samples``; token arrays never move.
+    ``samples`` is a written table; only its key column is read, and token
+    arrays never move.
     """
     ids = samples.select(key)
     rows = ids.count() if rows is None else rows
@@ -40,7 +41,7 @@ def epoch_plan(
         wanted = F.least(left, F.lit(per_epoch)) * recipe.global_batch
         ranked = shuffled_rank(ids, key, recipe.seed, epochs, rows, below=wanted)
     else:
-        ranked = with_rank(ids, key).withColumn(
+        ranked = with_rank(ids, key, written=True).withColumn(
             "epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))
         )
     batched = assign_batches(ranked, recipe.global_batch, recipe.drop_last, rows)
@@ -62,5 +63,5 @@ def training_plan(
 def evaluation_plan(samples: DataFrame, recipe: Recipe, batch_size: int, key: str = "sample_id") -> DataFrame:
     """Evaluation batches in key order, cut to the configured subset."""
     ids = samples.select(key)
-    plan = assign_batches(with_rank(ids, key), batch_size, recipe.drop_last, ids.count())
+    plan = assign_batches(with_rank(ids, key, written=True), batch_size, recipe.drop_last, ids.count())
     return eval_subset(plan, recipe.eval_subset_batches)

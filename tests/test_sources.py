@@ -125,12 +125,16 @@ def test_instruction_records(spark):
     assert whole[3, 1] == "### Instruction:\nq6\n\n### Response:\n"
 
 
-def test_hot_conversation(spark):
-    """A third of all turns in one conversation."""
-    turns = [(0, t, "user" if t % 2 == 0 else "assistant", f"x{t}") for t in range(400)]
+@pytest.mark.parametrize("chunk", [7, 1024])
+def test_hot_conversation(spark, chunk):
+    """A third of all turns in one conversation, its context in every record."""
+    turns = [(0, 0, "system", "ctx")]
+    turns += [(0, t, "user" if t % 2 else "assistant", f"x{t}") for t in range(1, 401)]
     turns += [(c, t, ("user", "assistant")[t], "y") for c in range(1, 401) for t in range(2)]
-    rows = instructions.instruction_rows(spark.createDataFrame(turns, TURNS))
-    assert rows.count() == 200 + 400
+    rows = instructions.instruction_rows(spark.createDataFrame(turns, TURNS), chunk).collect()
+    hot = {(r.turn, r.instruction, r.context, r.response) for r in rows if r.conv_id == 0}
+    assert hot == {(t, f"x{t}", "ctx", f"x{t + 1}") for t in range(1, 400, 2)}
+    assert sum(r.conv_id > 0 and r.context == "" for r in rows) == 400
 
 
 def test_preprocessor_paths(spark):
