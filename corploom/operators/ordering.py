@@ -69,8 +69,9 @@ def slot_of(key: Column | str, cuts: list) -> Column:
 def _starts(
     slotted: DataFrame, sums: dict[str, Column], group=(), total: str | None = None
 ) -> DataFrame:
-    """Per slot: the running total of each sum over the slots before it, and
-    under the name ``total`` the first sum over all slots."""
+    """Per slot: the running total of each sum over the slots before it, the
+    slot's own sum as ``<name>_here``, and under the name ``total`` the first
+    sum over all slots."""
     totals = slotted.groupBy(*group, "_slot").agg(*[c.alias(n) for n, c in sums.items()])
     w = Window.partitionBy(*group).orderBy("_slot")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -78,6 +79,7 @@ def _starts(
         *group,
         "_slot",
         *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(n) for n in sums],
+        *[F.col(n).alias(f"{n}_here") for n in sums],
         *([F.sum(next(iter(sums))).over(Window.partitionBy(*group)).alias(total)] if total else []),
     )
 
@@ -112,36 +114,48 @@ def in_slots(
     return slotted if written else stage(slotted, "slots"), len(cuts) + 1
 
 
-def with_offsets(
+def placed(
     df: DataFrame,
     key: str,
     tokens: str = "tokens",
     slots: int | None = None,
     keys: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``n_tokens``, the dense document ordinal ``doc_ord``, the running
-    token offset ``tok_offset`` in ``key`` order, and ``n_docs``.
-
-    One shuffle of the token rows. Output tasks hold consecutive documents.
-    """
+    """:func:`with_offsets`, with the token range of each row's slot as
+    ``slot_from`` and ``slot_to``; a task holds whole slots, in ``key`` order."""
     sized = df.withColumn("n_tokens", F.coalesce(F.size(F.col(tokens)), F.lit(0)))
     staged, n = in_slots(sized, key, DOCS_PER_SLOT, slots, keys)
     starts = _starts(staged, {"_docs": F.count("*"), "_toks": F.sum("n_tokens")}, total="n_docs")
     w = Window.partitionBy("_slot").orderBy(key)
     run = F.sum("n_tokens").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_tokens")
-    placed = (
+    return (
         staged.repartitionById(n, F.col("_slot"))
         .withColumn("_in_slot", _checked(key, w, run.cast("bigint")))
         .withColumn("_row", F.row_number().over(w))
-    )
-    return (
-        placed.join(F.broadcast(starts), "_slot")
+        .join(F.broadcast(starts), "_slot")
         .withColumn("doc_ord", F.col("_docs") + F.col("_row") - 1)
         .withColumn("tok_offset", F.col("_toks") + F.col("_in_slot"))
-        .drop("_slot", "_docs", "_toks", "_in_slot", "_row")
+        .withColumn("slot_from", F.col("_toks"))
+        .withColumn("slot_to", F.col("_toks") + F.col("_toks_here"))
+        .drop("_slot", "_docs", "_toks", "_docs_here", "_toks_here", "_in_slot", "_row")
     )
 
 
+def with_offsets(
+    df: DataFrame,
+    key: str,
+    tokens: str = "tokens",
+    slots: int | None = None,
+    keys: DataFrame | None = None,
+) -> DataFrame:
+    """Add ``n_tokens``, the dense document ordinal ``doc_ord``, the running
+    token offset ``tok_offset`` in ``key`` order, and ``n_docs``.
+
+    One shuffle of the token rows. Output tasks hold consecutive documents.
+    """
+    return placed(df, key, tokens, slots, keys).drop("slot_from", "slot_to")
+
+
 def with_rank(
     df: DataFrame, key: str, out: str = "rank", slots: int | None = None, written: bool = False
 ) -> DataFrame:
@@ -155,7 +169,7 @@ def with_rank(
     return (
         placed.join(F.broadcast(starts), "_slot")
         .withColumn(out, (F.col("_rows") + F.col("_row") - 1).cast("bigint"))
-        .drop("_slot", "_rows", "_row")
+        .drop("_slot", "_rows", "_rows_here", "_row")
     )
 
 
@@ -202,7 +216,7 @@ def shuffled_rank(
     ranked = (
         hashed.join(starts, ["epoch", "_slot"])
         .withColumn("rank", (F.col("_rows") + F.row_number().over(w) - 1).cast("bigint"))
-        .drop("_h", "_slot", "_rows")
+        .drop("_h", "_slot", "_rows", "_rows_here")
     )
     return ranked if below is None else ranked.where(F.col("rank") < below)
 
@@ -222,5 +236,5 @@ def rank_in_group(
         slotted.withColumn("_row", F.row_number().over(w))
         .join(starts, [group, "_slot"])
         .withColumn(out, (F.col("_rows") + F.col("_row") - 1).cast("bigint"))
-        .drop("_slot", "_row", "_rows")
+        .drop("_slot", "_row", "_rows", "_rows_here")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corploom.functions.arrays import append_eod, append_eos
 from corploom.functions.tokenizers import tokenize
 from corploom.operators.ordering import with_offsets
-from corploom.operators.packing import concat_order, pack
+from corploom.operators.packing import concat_order, pack_in_order
 from corploom.operators.splits import split_weighted
 from corploom.session import releasing
 from corploom.sources.readers import scan_dataset, scan_jsonl, scan_shards, scan_text
@@ -31,7 +31,7 @@ def build_corpus(
     tokens = tokenize(docs.select(key, "text"), "text", tok)
     if eos_text or use_tokenizer_eos:
         tokens = append_eos(tokens, tok, eos_text, use_tokenizer_eos)
-    return pack(with_offsets(tokens, key, slots=slots, keys=docs), concat_tokens)
+    return pack_in_order(tokens, key, concat_tokens, slots=slots, keys=docs)
 
 
 def jsonl_to_shards(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corploom.functions.arrays import append_eos
 from corploom.functions.tokenizers import tokenize
 from corploom.operators import ordering
-from corploom.operators.packing import _cut, pack
+from corploom.operators.packing import _cut, pack, pack_in_order
 from corploom.operators.splits import split_weighted, weight_bounds
 
 from .conftest import docs_frame
@@ -31,11 +31,15 @@ def sequential(texts, seq_len, eos=256):
     return [stream[i : i + seq_len] for i in range(0, full, seq_len)], stream[full:]
 
 
-def packed(spark, texts, seq_len=L, slots=None, keep_tail=False, parts=3):
+def packed(spark, texts, seq_len=L, slots=None, keep_tail=False, parts=3, by="job"):
     docs = docs_frame(spark, texts).repartition(parts)
     tokens = append_eos(tokenize(docs, "text", "bytes"), "bytes", use_tokenizer_eos=True)
-    placed = ordering.with_offsets(tokens, "doc_id", slots=slots)
-    rows = pack(placed, seq_len, keep_tail).collect()
+    if by == "job":
+        out = pack_in_order(tokens, "doc_id", seq_len, keep_tail, slots=slots)
+    else:
+        out = pack(ordering.with_offsets(tokens, "doc_id", slots=slots), seq_len, keep_tail)
+    rows = out.collect()
+    assert len({r.sample_id for r in rows}) == len(rows)
     return {r.sample_id: list(r.tokens) for r in rows}
 
 
@@ -44,11 +48,12 @@ def packed(spark, texts, seq_len=L, slots=None, keep_tail=False, parts=3):
 EDGES = byte_docs([L - 2, L - 1, L, 5 * L + 3, 0, 1]) + [None, "", "é漢🙂", None] + byte_docs([3, 40])
 
 
+@pytest.mark.parametrize("by", ["job", "rows"])
 @pytest.mark.parametrize("slots", [1, 2, 5, 12])
-def test_edge_documents(spark, slots):
+def test_edge_documents(spark, slots, by):
     want, tail = sequential(EDGES, L)
-    assert packed(spark, EDGES, slots=slots) == dict(enumerate(want))
-    kept = packed(spark, EDGES, slots=slots, keep_tail=True)
+    assert packed(spark, EDGES, slots=slots, by=by) == dict(enumerate(want))
+    kept = packed(spark, EDGES, slots=slots, keep_tail=True, by=by)
     assert kept == dict(enumerate(want + ([tail] if tail else [])))
 
 
@@ -57,6 +62,15 @@ def test_corpus_shorter_than_a_sample(spark):
     assert packed(spark, ["abc"], keep_tail=True) == {0: [97, 98, 99, 256]}
 
 
+@pytest.mark.parametrize("seq_len, slots", [(1, 4), (7, 30), (64, 30), (1000, 30), (33, 3)])
+def test_slots_smaller_and_larger_than_samples(spark, seq_len, slots):
+    """Samples over many slots, slots over many samples, and ends that meet."""
+    texts = byte_docs([(i * 29) % 41 for i in range(120)])
+    want, tail = sequential(texts, seq_len)
+    got = packed(spark, texts, seq_len, slots=slots, keep_tail=True)
+    assert got == dict(enumerate(want + ([tail] if tail else [])))
+
+
 def test_one_document_holds_most_tokens(spark):
     texts = byte_docs([5] * 20 + [50_000] + [7] * 20)
     want, _ = sequential(texts, 100)
@@ -161,7 +175,7 @@ def test_plan_moves_tokens_once(spark):
     cross join or single-task sort sees them."""
     texts = byte_docs([20] * 100)
     tokens = append_eos(tokenize(docs_frame(spark, texts), "text", "bytes"), "bytes", use_tokenizer_eos=True)
-    out = pack(ordering.with_offsets(tokens, "doc_id", slots=4), 16)
+    out = pack_in_order(tokens, "doc_id", 16, slots=4)
     plan = out._jdf.queryExecution().executedPlan().toString()
     exchanges = [x for x in plan.splitlines() if " Exchange " in x or ":- Exchange" in x or "+- Exchange" in x]
     by_slot = [x for x in exchanges if "direct_shuffle_partition_id" in x]
