@@ -14,11 +14,12 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dir: str | None = None
-_staged: list[str] = []
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -47,7 +48,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return a reader over the written table."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    _staged.append(path)
+    if (mine := _staged.get()) is not None:
+        mine.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -55,14 +57,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 @contextmanager
 def releasing(spark: SparkSession) -> Iterator[None]:
     """Delete the tables staged inside the block when it ends, for jobs whose
-    result has been written elsewhere by then."""
-    before = len(_staged)
+    result has been written elsewhere by then. Jobs in other threads keep
+    theirs."""
+    mine: list[str] = []
+    outer = _staged.set(mine)
     try:
         yield
     finally:
+        _staged.reset(outer)
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
         conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for name in _staged[before:]:
+        for name in mine:
             path = hadoop.Path(name)
             path.getFileSystem(conf).delete(path, True)
-        del _staged[before:]

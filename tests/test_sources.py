@@ -163,3 +163,17 @@ def test_finished_jobs_leave_nothing_staged(spark, sf, tmp_path):
     assert counts["train"] == counts["val"] > 0
     with pytest.raises(Exception, match="exists"):
         corpus.jsonl_to_shards(spark, path, str(tmp_path / "o"), 64)
+
+
+def test_jobs_side_by_side_keep_their_tables(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from corploom.session import releasing
+
+    with releasing(spark), ThreadPoolExecutor(1) as other:
+        theirs = other.submit(stage, spark.range(5), "theirs").result()
+        mine = stage(spark.range(3), "mine")
+        assert mine.count() == 3
+    assert theirs.count() == 5
+    with pytest.raises(Exception, match="(?i)not.exist|PATH_NOT_FOUND"):
+        mine.count()
