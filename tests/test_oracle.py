@@ -11,8 +11,8 @@ import __spark_entry__ as driver
 
 from .conftest import DATA
 
-QUERIES = driver.queries()
-ORACLES = driver.oracle_sql()
+QUERIES = {name: query for name, query in driver.queries().items() if name in driver.QUERIES}
+ORACLES = {name: sql for name, sql in driver.oracle_sql().items() if name in driver.ORACLES}
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
