@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corploom.llm.exact_dedup import dedup_exact
 from corploom.llm.frames import table
 from corploom.llm.secret_scan import KINDS, scan_secrets
+from corploom.llm.slack_packing import pack_slack
+from corploom.llm.token_store import read_tokens, write_tokens
+from corploom.session import scratch_path
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,9 +40,23 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_exact(_documents(spark, sf_dir)).drop("chars")
 
 
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, root = _documents(spark, sf_dir), scratch_path(spark, "token-store")
+    write_tokens(docs, root, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    kept = read_tokens(docs.select("doc_id"), root)
+    return kept.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op5_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_slack(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return packed.drop("ids")
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_token_store": op4_token_store,
+    "op5_slack_packing": op5_slack_packing,
 }
 
 ORACLES = {
