@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from corploom.llm.exact_dedup import dedup_exact
 from corploom.llm.frames import table
+from corploom.llm.mixing import mix
 from corploom.llm.secret_scan import KINDS, scan_secrets
 from corploom.llm.slack_packing import pack_slack
 from corploom.llm.token_store import read_tokens, write_tokens
+from corploom.llm.warc import read_captures, write_warc
 from corploom.session import scratch_path
 
 
@@ -52,11 +54,25 @@ def op5_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.drop("ids")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "warc")
+    write_warc(spark.read.parquet(table(sf_dir, "pages")), root)
+    return read_captures(spark, root, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to"
+    )
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_token_store": op4_token_store,
     "op5_slack_packing": op5_slack_packing,
+    "op6_warc": op6_warc,
+    "op10_mixing": op10_mixing,
 }
 
 ORACLES = {
@@ -70,4 +86,41 @@ ORACLES = {
                    first_value(doc_id) OVER (PARTITION BY norm ORDER BY chars DESC, doc_id) AS keep_id
             FROM t)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g""",
+    "op10_mixing": r"""
+        WITH d AS (
+            SELECT doc_id, source, coalesce(text, '') AS text,
+                   CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+            FROM documents),
+        k AS (
+            SELECT doc_id, source, size,
+                   -ln((CAST('0x' || substr(md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS BIGINT) + 0.5::DOUBLE)
+                       / 281474976710656.0::DOUBLE)
+                   / CASE WHEN size > 0 THEN size::DOUBLE
+                          / (size + 20 * (length(text) - length(translate(text, '#*$%&|<>', '')))) ELSE 1.0 END AS key
+            FROM d),
+        s AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+                   (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+            FROM d GROUP BY source),
+        l AS (
+            SELECT *, (3 * source_size)::DOUBLE / weight AS per,
+                   (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER before, 0))::DOUBLE
+                   / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0))::DOUBLE AS level
+            FROM s
+            WINDOW before AS (ORDER BY (3 * source_size)::DOUBLE / weight, source NULLS LAST
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        t AS (
+            SELECT source, source_size,
+                   CASE WHEN per <= level THEN (3 * source_size)::DOUBLE
+                        ELSE weight * (SELECT level FROM l WHERE per > level ORDER BY per LIMIT 1) END AS target
+            FROM l),
+        e AS (
+            SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS epochs FROM t),
+        p AS (
+            SELECT k.doc_id, k.size, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size AS budget,
+                   sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id ROWS UNBOUNDED PRECEDING) - k.size AS passed
+            FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source)
+        SELECT doc_id, size, source_size, target,
+               CAST(size * (epochs + CASE WHEN 2 * passed + size < 2 * budget THEN 1 ELSE 0 END) AS BIGINT) AS taken
+        FROM p""",
 }
