@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from corploom.llm.exact_dedup import dedup_exact
 from corploom.llm.frames import table
 from corploom.llm.mixing import mix
+from corploom.llm.quality import judge
 from corploom.llm.secret_scan import KINDS, scan_secrets
 from corploom.llm.slack_packing import pack_slack
 from corploom.llm.token_store import read_tokens, write_tokens
@@ -62,6 +63,11 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judge(_documents(spark, sf_dir)).select("doc_id", *counts, "base_failed", "kept")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -72,6 +78,7 @@ QUERIES = {
     "op4_token_store": op4_token_store,
     "op5_slack_packing": op5_slack_packing,
     "op6_warc": op6_warc,
+    "op9_quality_rules": op9_quality_rules,
     "op10_mixing": op10_mixing,
 }
 
