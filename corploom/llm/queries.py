@@ -13,6 +13,7 @@ from corploom.llm.quality import judge
 from corploom.llm.secret_scan import KINDS, scan_secrets
 from corploom.llm.slack_packing import pack_slack
 from corploom.llm.token_store import read_tokens, write_tokens
+from corploom.llm.toxicity import score_toxicity
 from corploom.llm.warc import read_captures, write_warc
 from corploom.session import scratch_path
 
@@ -43,6 +44,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_exact(_documents(spark, sf_dir)).drop("chars")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(table(sf_dir, "labels"))
+    return score_toxicity(_documents(spark, sf_dir), labels)
+
+
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, root = _documents(spark, sf_dir), scratch_path(spark, "token-store")
     write_tokens(docs, root, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -75,6 +81,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_token_store": op4_token_store,
     "op5_slack_packing": op5_slack_packing,
     "op6_warc": op6_warc,
