@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from corploom.llm.exact_dedup import dedup_exact
 from corploom.llm.frames import table
 from corploom.llm.mixing import mix
+from corploom.llm.near_dedup import dedup_near
 from corploom.llm.quality import judge
 from corploom.llm.secret_scan import KINDS, scan_secrets
 from corploom.llm.slack_packing import pack_slack
@@ -69,6 +70,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_near(_documents(spark, sf_dir)).drop("tie")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judge(_documents(spark, sf_dir)).select("doc_id", *counts, "base_failed", "kept")
@@ -85,6 +90,7 @@ QUERIES = {
     "op4_token_store": op4_token_store,
     "op5_slack_packing": op5_slack_packing,
     "op6_warc": op6_warc,
+    "op7_near_dedup": op7_near_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_mixing": op10_mixing,
 }
@@ -100,6 +106,29 @@ ORACLES = {
                    first_value(doc_id) OVER (PARTITION BY norm ORDER BY chars DESC, doc_id) AS keep_id
             FROM t)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g""",
+    "op7_near_dedup": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS words
+            FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(words[i : i + 4], ' ') AS shingle
+            FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM w WHERE len(words) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id, na.n, nb.n
+            HAVING 100 * count(*) >= 75 * (na.n + nb.n - count(*))),
+        reach AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION
+            SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.component_id, d.doc_id = r.component_id AS kept
+        FROM documents d LEFT JOIN n USING (doc_id)
+        JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)""",
     "op10_mixing": r"""
         WITH d AS (
             SELECT doc_id, source, coalesce(text, '') AS text,
