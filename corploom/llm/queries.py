@@ -10,6 +10,7 @@ from corploom.llm.exact_dedup import dedup_exact
 from corploom.llm.frames import table
 from corploom.llm.mixing import mix
 from corploom.llm.near_dedup import dedup_near
+from corploom.llm.passages import repeated_passages
 from corploom.llm.quality import judge
 from corploom.llm.secret_scan import KINDS, scan_secrets
 from corploom.llm.slack_packing import pack_slack
@@ -74,6 +75,10 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_near(_documents(spark, sf_dir)).drop("tie")
 
 
+def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(_documents(spark, sf_dir))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judge(_documents(spark, sf_dir)).select("doc_id", *counts, "base_failed", "kept")
@@ -91,6 +96,7 @@ QUERIES = {
     "op5_slack_packing": op5_slack_packing,
     "op6_warc": op6_warc,
     "op7_near_dedup": op7_near_dedup,
+    "op8_passages": op8_passages,
     "op9_quality_rules": op9_quality_rules,
     "op10_mixing": op10_mixing,
 }
