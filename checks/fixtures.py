@@ -91,6 +91,13 @@ def documents_jsonl(spark, sf, out):
     docs.write.json(out)
 
 
+@_once
+def plain_jsonl(spark, sf, out):
+    """Lines without an id; files and lines are in the order of ``doc_id``."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").select("text").write.json(out)
+
+
 @_once
 def mixed_jsonl(spark, sf, out):
     good = table(spark, sf, "documents").select(F.to_json(F.struct("doc_id", "text")).alias("value"))
@@ -131,8 +138,8 @@ def pair_key():
 
 
 def log_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """One line per event: a user is a run, two events make a batch, errors
-    are plain text and so leave gaps."""
+    """One line per event, with its place in time: a user is a run, two events make
+    a batch, errors are plain text and so leave gaps."""
     events = table(spark, sf, "events").withColumn("at", F.col("ts").cast("timestamp"))
     ranked = rank_in_group(events, "user_id", ["ts", "event_id"], F.to_date("ts"))
     tokens = F.floor(F.col("value") * 100).cast("bigint")
@@ -150,12 +157,22 @@ def log_lines(spark: SparkSession, sf: str) -> DataFrame:
         )
     )
     note = F.concat(F.lit("error user="), "user_id", F.lit(" event="), "event_id")
-    return ranked.select(F.when(F.col("event_type") == "error", note).otherwise(metric).alias("value"))
+    return ranked.select(F.when(F.col("event_type") == "error", note).otherwise(metric).alias("value"), "ts", "event_id")
+
+
+@_once
+def growing_log(spark, sf, out):
+    """The log as four files, one after the other in time, wherever that cuts a batch."""
+    lines = log_lines(spark, sf)
+    edges = lines.select(F.expr("percentile_approx(unix_micros(cast(ts AS timestamp)), array(0.25, 0.5, 0.75))")).first()[0]
+    part = sum((F.unix_micros(F.col("ts").cast("timestamp")) > e).cast("int") for e in edges)
+    for i in range(4):
+        lines.where(part == i).orderBy("ts", "event_id").select("value").coalesce(1).write.mode("append").text(out)
 
 
 @_once
 def log_folder(spark, sf, out):
-    log_lines(spark, sf).write.text(out)
+    log_lines(spark, sf).select("value").write.text(out)
 
 
 def small_bpe() -> BpeTokenizer:

@@ -236,14 +236,24 @@ FT_ROWS = f"""SELECT f.*, len(a.input_ids) AS used, a.input_ids, a.labels, a.att
 FROM ({full_plan(f'SELECT sample_id FROM ({PAIRS}) p', FINETUNE)}) f
 JOIN ({pair_arrays(PAIR_LEN)}) a USING (sample_id)"""
 
+FT_COLUMNS = "epoch, global_batch, batch, device, micro, pos, sample_id, is_eval, is_save"
+
+
+def ft_out(columns: str, rows: str, length: str) -> str:
+    """Padded arrays of plan rows that have ``used``."""
+    return f"""SELECT {columns}, CAST(used AS INTEGER) AS n_tokens, CAST({length} AS INTEGER) AS n_padded,
+        {text_of(padded('input_ids', WORD_VOCAB, length))} AS input_ids,
+        {text_of(padded('labels', IGNORE_LABEL, length))} AS labels,
+        {text_of(padded('attention_mask', 0, length))} AS attention_mask FROM ({rows}) r"""
+
+
 ORACLES = {
     "scan_jsonl": "SELECT doc_id, text, CAST(length(text) AS BIGINT) AS n_chars FROM documents",
     "scan_jsonl_bad_lines": """SELECT doc_id, text AS content FROM documents
         UNION ALL SELECT NULL AS doc_id, content FROM (
           SELECT unnest(string_split(text, chr(10))) AS content FROM benchmark) b
         WHERE trim(content) <> ''""",
-    "scan_order": """SELECT count(*) AS n_rows, count(*) AS n_ranks, count(*) - 1 AS last_rank,
-        CAST(sum(length(text)) AS BIGINT) AS n_chars FROM documents""",
+    "scan_order": "SELECT CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS rank, text FROM documents",
     "scan_text_folder": "SELECT doc_id, text || chr(10) AS text FROM documents",
     "scan_dataset": f"SELECT doc_id, subset, split, text FROM ({SUBSETS}) s WHERE subset = 'en'",
     "scan_instructions": f"SELECT *, 'train' AS split FROM ({RECORDS}) r",
@@ -252,8 +262,15 @@ ORACLES = {
     "follow_logs": LOG_COUNTS,
     "preview": "SELECT doc_id, lang, n_chars FROM documents ORDER BY doc_id LIMIT 10",
     "write_shards": samples_out(SAMPLES, ", 'train' AS split"),
-    "write_split_folders": in_splits(
-        f"SELECT count(*) AS n_samples, CAST(sum(sample_id) AS BIGINT) AS sum_ids FROM ({SAMPLES}) s"
+    "write_split_folders": in_splits(samples_out(SAMPLES)),
+    "split_manifests": " UNION ALL ".join(
+        f"""SELECT '{split}' AS split, count(*) AS n_read, count(*) AS n_samples,
+        CAST(sum(len(ids)) AS BIGINT) AS n_tokens, CAST({n} AS INTEGER) AS seq_len, '{tok}' AS tokenizer,
+        CAST({eos} AS INTEGER) AS eos_id FROM ({samples}) s"""
+        for split, tok, n, eos, samples in (
+            ("train", "words", SEQ_LEN, WORD_VOCAB, SAMPLES),
+            ("val", "bytes", 512, BYTES_EOS, packed(BYTES_EOS_SQL, 512)),
+        )
     ),
     "ensure_namespace": "SELECT lang, count(*) AS n FROM documents GROUP BY lang",
     "write_indexed": f"""SELECT doc_ord, tok_offset, n_tokens, {text_of('ids')} AS tokens
@@ -296,7 +313,8 @@ ORACLES = {
     "pack_samples": samples_out(SAMPLES),
     "pack_keep_tail": samples_out(packed(WORDS_EOS_TEXT, 1000, keep_tail=True)),
     "pack_bytes": f"""SELECT sample_id, CAST(len(ids) AS INTEGER) AS n_tokens,
-        CAST(list_sum(ids) AS BIGINT) AS token_sum, ids[1] AS first_token
+        CAST(list_sum(list_transform(ids, lambda x, i: CAST(x AS BIGINT) * i)) AS BIGINT) AS weighed_sum,
+        ids[1] AS first_token
         FROM ({packed(BYTES_EOS_SQL)}) s""",
     "shuffle_epochs": """SELECT doc_id, CAST(e AS INTEGER) AS epoch, CAST(row_number() OVER (PARTITION BY e
         ORDER BY md5('17:' || e || ':' || doc_id), doc_id) - 1 AS BIGINT) AS rank
@@ -345,9 +363,8 @@ ORACLES = {
     "console_interval": f"SELECT * FROM ({MEMORY}) m WHERE batch % 5 = 0",
     "follow_metrics": f"""SELECT run_id, epoch_us(start) AS window_us, count(*) AS n_lines,
         CAST(sum(tokens) AS BIGINT) AS tokens, max(mem_bytes) AS peak_bytes, max(batch) AS last_batch
-        FROM (SELECT *, time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '1970-01-01') AS start,
-                max(ts) OVER () AS newest FROM ({METRICS}) m) w
-        WHERE start + INTERVAL '6 hours' <= newest - INTERVAL '10 minutes' GROUP BY run_id, start""",
+        FROM (SELECT *, time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '1970-01-01') AS start
+              FROM ({METRICS}) m) w GROUP BY run_id, start""",
     "follow_rolling": SPEED,
     "stop_following": "SELECT count(*) AS n_lines, false AS active FROM events",
     "jsonl_to_shards": in_splits(samples_out(packed(WORDS_EOS_TEXT))),
@@ -363,4 +380,24 @@ ORACLES = {
         {text_of(padded('attention_mask', 0, str(PAIR_LEN)))} AS attention_mask FROM ({FT_ROWS}) r""",
     "run_metrics": f"""SELECT e.*, l.lr, m.peak_bytes FROM ({ETA}) e
         JOIN ({LR}) l USING (run_id, batch) JOIN ({MEMORY}) m USING (run_id, batch)""",
+    "jsonl_no_id_to_shards": in_splits(samples_out(packed(WORDS_EOS_TEXT))),
+    "jsonl_no_id_to_indexed": f"""SELECT doc_ord, tok_offset, n_tokens, {text_of('ids')} AS tokens,
+        {weighted('doc_ord', 'n_docs')} AS split FROM ({offsets(bpe(eos=True))}) o""",
+    "jsonl_to_raw_shards": "SELECT doc_id, text, 'val' AS split FROM documents",
+    "evaluation_plan_devices": f"""SELECT CAST(rank // 24 AS BIGINT) AS batch, {device_cols(24, 4, 2)}, sample_id
+        FROM ({RANKED_IDS}) r""",
+    "eval_every_epoch": f"""SELECT epoch, global_batch, batch, {device_cols(64, 8, 2)}, sample_id,
+        (global_batch + 1) % (n // 64) = 0 AS is_eval, (global_batch + 1) % 12 = 0 AS is_save
+        FROM ({plan(SAMPLE_IDS, PRETRAIN)}) b, (SELECT count(*) AS n FROM ({SAMPLE_IDS}) s) c""",
+    "finetune_from_shards": ft_out(FT_COLUMNS, FT_ROWS, str(PAIR_LEN)),
+    "finetune_trimmed": ft_out(
+        FT_COLUMNS, f"SELECT *, max(used) OVER (PARTITION BY epoch, batch) AS longest FROM ({FT_ROWS}) t", "longest"
+    ),
+    "finetune_evaluation_plan": ft_out(
+        "batch, device, micro, pos, sample_id",
+        f"""SELECT CAST(rank // 12 AS BIGINT) AS batch, {device_cols(12, 4, 2)}, a.*, len(input_ids) AS used
+        FROM (SELECT sample_id, row_number() OVER (ORDER BY sample_id) - 1 AS rank FROM ({PAIRS}) p) r
+        JOIN ({pair_arrays(PAIR_LEN)}) a USING (sample_id)""",
+        str(PAIR_LEN),
+    ),
 }

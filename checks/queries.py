@@ -5,6 +5,7 @@ Arrays are returned as space-separated text so that results compare by value.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,15 +77,10 @@ def scan_jsonl_bad_lines(spark, sf):
 
 
 def scan_order(spark, sf):
-    """Documents without an id: any fixed order must rank every line once."""
-    rows = readers.scan_jsonl(spark, fx.documents_jsonl(spark, sf))
-    ranked = ordering.with_rank(readers.fix_scan_order(rows), "ord")
-    return ranked.agg(
-        F.count("*").alias("n_rows"),
-        F.count_distinct("rank").alias("n_ranks"),
-        F.max("rank").alias("last_rank"),
-        F.sum(F.length("text")).alias("n_chars"),
-    )
+    """Documents without an id, ranked in the order of their files and lines."""
+    rows = readers.scan_jsonl(spark, fx.plain_jsonl(spark, sf), id_cols="")
+    ranked = ordering.with_rank(readers.fix_scan_order(rows), "ord", written=True)
+    return ranked.select("rank", "text")
 
 
 def doc_of_path(path: str) -> Column:
@@ -155,9 +151,27 @@ def write_split_folders(spark, sf):
     """Rows carry their split; the write makes one folder of each."""
     out = scratch_path(spark, "folders")
     writers.write_shards(splits.split_copy(packed(spark, sf), list(SPLITS)), out, "words", SEQ_LEN)
-    rows = spark.read.parquet(out)
-    return rows.groupBy("split").agg(
-        F.count("*").alias("n_samples"), F.sum("sample_id").alias("sum_ids")
+    return sample_text(spark.read.parquet(out), "split")
+
+
+def split_manifests(spark, sf):
+    """Two splits of different tokenizers and lengths under one root, each read back
+    through the check; reading one as the other is refused."""
+    out = scratch_path(spark, "two-splits")
+    tokens = arrays.append_eos(tokenize(docs_of(spark, sf), "text", "bytes"), "bytes", use_tokenizer_eos=True)
+    writers.write_shards(packed(spark, sf), out, "words", SEQ_LEN, split="train")
+    writers.write_shards(packing.pack_in_order(tokens, "doc_id", 512), out, "bytes", 512, split="val")
+    for split, tok, seq_len in (("train", "bytes", 512), ("val", "words", SEQ_LEN)):
+        try:
+            readers.scan_shards(spark, out, split, tok, seq_len)
+        except ValueError:
+            continue
+        raise AssertionError(f"{split} was read as {tok}, {seq_len}")
+    train = readers.scan_shards(spark, out, "train", "words", SEQ_LEN)
+    val = readers.scan_shards(spark, out, "val", "bytes", 512)
+    both = train.unionByName(val).groupBy("split").agg(F.count("*").alias("n_read"))
+    return both.join(readers.read_manifest(spark, out), "split").select(
+        "split", "n_read", "n_samples", "n_tokens", "seq_len", "tokenizer", "eos_id"
     )
 
 
@@ -306,7 +320,7 @@ def keep_subset(spark, sf):
 
 def token_offsets(spark, sf):
     tokens = arrays.append_eos(tokenize(docs_of(spark, sf)), "words", use_tokenizer_eos=True)
-    placed = ordering.with_offsets(tokens, "doc_id", keys=fx.table(spark, sf, "documents"))
+    placed = ordering.with_offsets(tokens, "doc_id")
     return placed.select("doc_id", "doc_ord", "tok_offset", "n_tokens", "n_docs")
 
 
@@ -322,11 +336,11 @@ def pack_keep_tail(spark, sf):
 
 def pack_bytes(spark, sf):
     samples = packed(spark, sf, "bytes")
-    total = F.aggregate("tokens", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    weighed = F.transform("tokens", lambda x, i: x.cast("bigint") * (i + 1))
     return samples.select(
         "sample_id",
         F.size("tokens").alias("n_tokens"),
-        total.alias("token_sum"),
+        F.aggregate(weighed, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("weighed_sum"),
         F.element_at("tokens", 1).alias("first_token"),
     )
 
@@ -409,6 +423,16 @@ def eval_subset(spark, sf):
     return training.evaluation_plan(samples_of(spark, sf), recipe, batch_size=8)
 
 
+def evaluation_plan_devices(spark, sf):
+    recipe = Recipe(devices=4, micro_size=2, eval_batch=24)
+    return training.evaluation_reads(samples_of(spark, sf), recipe)
+
+
+def eval_every_epoch(spark, sf):
+    recipe = replace(PRETRAIN, eval_interval="1ep", save_interval="12ba")
+    return training.training_plan(samples_of(spark, sf), recipe)
+
+
 def plan_stats(spark, sf):
     rows = finetune.finetune_plan(pairs_of(spark, sf), FINETUNE)
     return batching.plan_stats(rows)
@@ -466,18 +490,23 @@ def followed(spark, stream: DataFrame, label: str) -> DataFrame:
 
 
 def follow_metrics(spark, sf):
-    rows = metrics.metric_rows(readers.follow_logs(spark, fx.log_folder(spark, sf)))
-    done = followed(spark, metrics.windowed_metrics(rows, "6 hours"), "follow-metrics")
+    """Followed file by file; the windows still open at the end are there too."""
+    rows = metrics.metric_rows(readers.follow_logs(spark, fx.growing_log(spark, sf), files_per_trigger=1))
+    out = scratch_path(spark, "follow-metrics")
+    follow.follow_windows(rows, out, f"{out}-checkpoint", "6 hours", available_now=True).awaitTermination()
+    done = follow.read_windows(spark, out)
     return done.withColumn("window_us", F.unix_micros("window_start")).drop("window_start")
 
 
 def follow_rolling(spark, sf):
-    rows = metrics.metric_rows(readers.follow_logs(spark, fx.log_folder(spark, sf)))
+    """Followed file by file, with batches cut by the ends of files."""
+    rows = metrics.metric_rows(readers.follow_logs(spark, fx.growing_log(spark, sf), files_per_trigger=1))
     out = scratch_path(spark, "follow-rolling")
     query = follow.follow_rolling(
         rows, out, f"{out}-state", f"{out}-checkpoint", available_now=True
     )
     query.awaitTermination()
+    follow.finish_rolling(spark, out, f"{out}-state")
     return speed_columns(spark.read.parquet(out))
 
 
@@ -501,6 +530,24 @@ def jsonl_to_shards(spark, sf):
     return sample_text(spark.read.parquet(out), "split")
 
 
+def jsonl_no_id_to_shards(spark, sf):
+    out = scratch_path(spark, "jsonl-no-id-job")
+    corpus.jsonl_to_shards(spark, fx.plain_jsonl(spark, sf), out, SEQ_LEN, split_names=SPLITS, key=None)
+    return sample_text(spark.read.parquet(out), "split")
+
+
+def jsonl_no_id_to_indexed(spark, sf):
+    out = scratch_path(spark, "indexed-no-id-job")
+    rows = corpus.jsonl_to_indexed(spark, fx.plain_jsonl(spark, sf), out, "bpe", key=None)
+    return rows.select("doc_ord", "tok_offset", "n_tokens", text_of("tokens").alias("tokens"), "split")
+
+
+def jsonl_to_raw_shards(spark, sf):
+    out = scratch_path(spark, "raw-job")
+    corpus.jsonl_to_raw_shards(spark, fx.documents_jsonl(spark, sf), out, split_names=SPLITS)
+    return readers.scan_shards(spark, out, "val").select("doc_id", "text", "split")
+
+
 def text_to_shards(spark, sf):
     out = scratch_path(spark, "text-job")
     corpus.text_to_shards(spark, fx.text_folder(spark, sf), out, SEQ_LEN)
@@ -540,6 +587,33 @@ def finetune_plan(spark, sf):
     )
 
 
+def plan_arrays(rows: DataFrame, *columns: str) -> DataFrame:
+    arrays_ = [text_of(c).alias(c) for c in ("input_ids", "labels", "attention_mask")]
+    return rows.select(*columns, "n_tokens", "n_padded", *arrays_)
+
+
+@fx._once
+def pair_shards(spark, sf, out):
+    writers.write_pairs(pairs_of(spark, sf), out, split="train")
+
+
+def finetune_from_shards(spark, sf):
+    rows = finetune.finetune_from_shards(spark, pair_shards(spark, sf), "train", FINETUNE)
+    return plan_arrays(rows, *training.PLAN_COLUMNS)
+
+
+def finetune_trimmed(spark, sf):
+    recipe = replace(FINETUNE, allow_pad_trimming=True)
+    rows = finetune.finetune_from_shards(spark, pair_shards(spark, sf), "train", recipe)
+    return plan_arrays(rows, *training.PLAN_COLUMNS)
+
+
+def finetune_evaluation_plan(spark, sf):
+    recipe = replace(FINETUNE, eval_batch=12)
+    rows = finetune.finetune_evaluation(pairs_of(spark, sf), recipe)
+    return plan_arrays(rows, "batch", "device", "micro", "pos", "sample_id")
+
+
 def run_metrics(spark, sf):
     rows = metrics.run_metrics(metrics_of(spark, sf), 1000)
     return speed_columns(rows, "eta_sec", "lr", "peak_bytes")
@@ -550,18 +624,20 @@ QUERIES = {
     for f in (
         scan_jsonl, scan_jsonl_bad_lines, scan_order, scan_text_folder, scan_dataset,
         scan_instructions, scan_shards, scan_logs, follow_logs, preview,
-        write_shards, write_split_folders, ensure_namespace, write_indexed, write_pairs, manifest,
+        write_shards, write_split_folders, split_manifests, ensure_namespace, write_indexed, write_pairs, manifest,
         append_eos_text, append_eos_id, append_eod, raw_text_corpus,
         format_instructions, preprocessor_by_path, preprocessor_by_row,
         decoder_only, truncate, pad_full, pad_longest, duration_batches,
         keep_splits, keep_subset, token_offsets, pack_samples, pack_keep_tail, pack_bytes,
         shuffle_epochs, ordered_rank, rank_in_run, split_weighted, split_copy,
         assign_batches, drop_last, assign_devices, epoch_plan, batch_limited_plan, unshuffled_epochs, plan_markers,
-        eval_subset, plan_stats, run_totals,
+        eval_subset, evaluation_plan_devices, eval_every_epoch, plan_stats, run_totals,
         parse_metrics, rolling_speed, lr_series, memory_peak, eta, console_interval,
         follow_metrics, follow_rolling, stop_following,
         jsonl_to_shards, text_to_shards, dataset_to_shards, instructions_to_pairs,
         jsonl_to_indexed, training_plan, finetune_plan, run_metrics,
+        jsonl_no_id_to_shards, jsonl_no_id_to_indexed, jsonl_to_raw_shards,
+        finetune_from_shards, finetune_trimmed, finetune_evaluation_plan,
     )
 }
 QUERIES |= {f"tokenize_{name}": partial(tokenize_with, name) for name in ("words", "bytes", "bpe")}

@@ -73,11 +73,13 @@ def pad(
 
     A batch holds at most the configured batch size, so the window is small.
     """
-    length = F.lit(max_len)
-    if trim:
-        longest = F.max(F.size("input_ids")).over(Window.partitionBy(*batch_cols))
-        df = df.withColumn("_pad_to", F.least(longest, F.lit(max_len)))
-        length = F.col("_pad_to")
+    if not trim:
+        return fill(df, F.lit(max_len), pad_id)
+    longest = F.max(F.size("input_ids")).over(Window.partitionBy(*batch_cols))
+    return fill(df.withColumn("_pad_to", F.least(longest, F.lit(max_len))), F.col("_pad_to"), pad_id).drop("_pad_to")
+
+
+def fill(df: DataFrame, length: Column, pad_id: int) -> DataFrame:
+    """Right-pad every array to ``length``."""
     fills = {"input_ids": pad_id, "labels": IGNORE_LABEL, "attention_mask": 0}
-    done = df.withColumns({c: _filled(c, length, v) for c, v in fills.items() if c in df.columns})
-    return done.drop("_pad_to")
+    return df.withColumns({c: _filled(c, length, v) for c, v in fills.items() if c in df.columns})

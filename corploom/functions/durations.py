@@ -18,6 +18,11 @@ def duration_batches(text: str, batches_per_epoch: int) -> int:
     return count * batches_per_epoch if found[2] == "ep" else count
 
 
+def interval_batches(every: int | str, batches_per_epoch: int) -> int:
+    """An interval given as batches or as a duration."""
+    return every if isinstance(every, int) else duration_batches(every, batches_per_epoch)
+
+
 def duration_batches_col(text: Column | str, batches_per_epoch: Column | int) -> Column:
     """The same over a column; null where the text is no duration."""
     text = F.col(text) if isinstance(text, str) else text

@@ -21,33 +21,48 @@ from corploom.session import stage
 
 MAX_SLOTS = 1 << 17
 DOCS_PER_SLOT = 20_000
+TOKENS_PER_SLOT = 1 << 24
 KEYS_PER_SLOT = 500_000
 KEYS_PER_CUT = 1_000
 
 
-def slots_for(df: DataFrame, rows: int, per_slot: int) -> int:
-    """Enough slots to keep each one task-sized and every core busy."""
-    by_size = -(-rows // per_slot)
+def slots_for(df: DataFrame, rows: int, per_slot: int, weight: int = 0) -> int:
+    """Enough slots to keep each one task-sized, by rows and by ``weight`` (tokens),
+    and every core busy."""
+    by_size = max(-(-rows // per_slot), -(-weight // TOKENS_PER_SLOT))
     by_cores = min(2 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // 64))
     return max(1, min(MAX_SLOTS, max(by_size, by_cores)))
 
 
-def key_cuts(df: DataFrame, key: str, slots: int, rows: int) -> list:
+def key_cuts(df: DataFrame, key: str, slots: int, rows: int, weight: str | None = None) -> list:
     """Lowest key of every slot but the first; at most ``slots - 1`` values.
 
-    Only the key column is read. Where to cut decides how even the slots are
-    and nothing else, so on a large table some keys are enough to find the cuts.
-    Because the cuts are constants afterwards, a recomputed task puts each row
-    in the same slot again.
+    Only the key and weight columns are read. Where to cut decides how even the
+    slots are and nothing else, so on a large table some keys are enough to find
+    the cuts. With ``weight`` the key range is first cut finer, and neighbouring
+    pieces are joined until they weigh a slot. Because the cuts are constants
+    afterwards, a recomputed task puts each row in the same slot again.
     """
     if slots == 1:
         return []
-    keys = df.select(key)
-    if rows > slots * KEYS_PER_CUT:
-        keys = keys.sample(slots * KEYS_PER_CUT / rows, seed=slots)
-    ranged = keys.repartitionByRange(slots, key)
-    lows = ranged.groupBy(F.spark_partition_id().alias("p")).agg(F.min(key).alias("low")).collect()
-    return sorted(r.low for r in lows if r.low is not None)[1:]
+    pieces = slots if weight is None else min(MAX_SLOTS, 4 * slots)
+    load = F.lit(1) if weight is None else F.col(weight) + 1
+    keys = df.select(key, load.alias("_load")).where(F.col(key).isNotNull())
+    if rows > pieces * KEYS_PER_CUT:
+        keys = keys.sample(pieces * KEYS_PER_CUT / rows, seed=slots)
+    ranged = keys.repartitionByRange(pieces, key)
+    # at most MAX_SLOTS rows
+    found = ranged.groupBy(F.spark_partition_id()).agg(F.min(key).alias("low"), F.sum("_load").alias("load"))
+    found = sorted((r.low, r.load) for r in found.collect())
+    if weight is None:
+        return [low for low, _ in found][1:]
+    share, cuts, held = sum(load for _, load in found) / slots, [], 0
+    for (_, load), (low, _) in zip(found, found[1:]):
+        held += load
+        if held >= share:
+            cuts.append(low)
+            held = 0
+    return cuts
 
 
 def slot_of(key: Column | str, cuts: list) -> Column:
@@ -85,9 +100,14 @@ def _starts(
 
 
 def _checked(key: str, w, value: Column) -> Column:
-    """``value``, failing the job if two rows share an order key."""
+    """``value``, failing the job if an order key is null or two rows share one,
+    however few the rows and slots."""
     same = F.col(key) == F.lag(key).over(w)
-    return F.when(same, F.raise_error(F.lit(f"order key {key} is not unique"))).otherwise(value)
+    return (
+        F.when(F.col(key).isNull(), F.raise_error(F.lit(f"the order key {key} must not be null")))
+        .when(same, F.raise_error(F.lit(f"order key {key} is not unique")))
+        .otherwise(value)
+    )
 
 
 def in_slots(
@@ -95,23 +115,21 @@ def in_slots(
     key: str,
     per_slot: int,
     slots: int | None = None,
-    keys: DataFrame | None = None,
     written: bool = False,
+    weight: str | None = None,
 ) -> tuple[DataFrame, int]:
     """``df`` with its slot number, and the number of slots.
 
-    The result is read twice, so it is written once unless ``df`` is a plain
-    read of a ``written`` table. This is the only place the upstream plan (scan,
-    tokenizer) is evaluated. ``keys`` may name a cheaper plan with the same key
-    column to take the cuts from, such as the bare scan, which then reads no
-    other column.
+    The upstream plan (scan, tokenizer) is evaluated once, when ``df`` is written
+    (unless it is a plain read of a ``written`` table); rows are counted and cuts
+    taken from the written key and ``weight`` columns, and the slot is computed as
+    the table is read back. The caller's job deletes the table.
     """
-    keys = df if keys is None else keys
-    rows = keys.select(key).count()
-    slots = slots_for(df, rows, per_slot) if slots is None else slots
-    cuts = key_cuts(keys, key, slots, rows)
-    slotted = df.withColumn("_slot", slot_of(F.col(key), cuts))
-    return slotted if written else stage(slotted, "slots"), len(cuts) + 1
+    staged = df if written else stage(df, "slots")
+    sums = staged.agg(F.count("*").alias("rows"), (F.sum(weight) if weight else F.lit(0)).alias("load")).first()
+    slots = slots_for(df, sums.rows, per_slot, sums.load or 0) if slots is None else slots
+    cuts = key_cuts(staged, key, slots, sums.rows, weight)
+    return staged.withColumn("_slot", slot_of(F.col(key), cuts)), len(cuts) + 1
 
 
 def placed(
@@ -119,17 +137,25 @@ def placed(
     key: str,
     tokens: str = "tokens",
     slots: int | None = None,
-    keys: DataFrame | None = None,
+    written: bool = False,
+    group: str | None = None,
+    groups: int = 1,
 ) -> DataFrame:
     """:func:`with_offsets`, with the token range of each row's slot as
-    ``slot_from`` and ``slot_to``; a task holds whole slots, in ``key`` order."""
-    sized = df.withColumn("n_tokens", F.coalesce(F.size(F.col(tokens)), F.lit(0)))
-    staged, n = in_slots(sized, key, DOCS_PER_SLOT, slots, keys)
-    starts = _starts(staged, {"_docs": F.count("*"), "_toks": F.sum("n_tokens")}, total="n_docs")
+    ``slot_from`` and ``slot_to``; a task holds whole slots, in ``key`` order. A
+    ``written`` table has its ``n_tokens`` already. With ``group``, a column of
+    numbers below ``groups``, every group is a stream of its own."""
+    if not written:
+        df = df.withColumn("n_tokens", F.coalesce(F.size(F.col(tokens)), F.lit(0)))
+    staged, n = in_slots(df, key, DOCS_PER_SLOT, slots, written, weight="n_tokens")
+    by = (group,) if group else ()
+    if group:
+        staged = staged.withColumn("_slot", (F.col(group) * n + F.col("_slot")).cast("int"))
+    starts = _starts(staged, {"_docs": F.count("*"), "_toks": F.sum("n_tokens")}, by, total="n_docs").drop(*by)
     w = Window.partitionBy("_slot").orderBy(key)
     run = F.sum("n_tokens").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_tokens")
     return (
-        staged.repartitionById(n, F.col("_slot"))
+        staged.repartitionById(n * groups, F.col("_slot"))
         .withColumn("_in_slot", _checked(key, w, run.cast("bigint")))
         .withColumn("_row", F.row_number().over(w))
         .join(F.broadcast(starts), "_slot")
@@ -141,19 +167,75 @@ def placed(
     )
 
 
+def in_scan_order(tokens: DataFrame, label: str = "scanned") -> DataFrame:
+    """Offsets in the order in which files are scanned, without a shuffle of tokens.
+
+    ``tokens`` comes from :func:`corploom.sources.readers.scan_order` without a
+    shuffle, so a task holds whole blocks of a file with their rows in order and
+    counts along each block. The rows are written once; what comes before a block
+    is a running sum over one row per block, which is broadcast if there are no
+    more of them than slots. Adds ``doc_ord``, ``tok_offset`` and ``n_docs``; rows whose
+    ``tokens`` are null are left out and may be read from the written table,
+    ``_scanned`` of the result. The caller's job deletes it.
+    """
+    kinds = tokens.schema.simpleString().removeprefix("struct<").removesuffix(">")
+    names = tokens.columns
+    at_file, at_block, at_tokens = (names.index(c) for c in ("file_path", "file_block_start", "tokens"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, seen, docs = None, 0, 0
+        for batch in batches:
+            sizes = batch.column(at_tokens).value_lengths().fill_null(0).to_numpy()
+            there = batch.column(at_tokens).is_valid().to_numpy(zero_copy_only=False).astype(np.int64)
+            files, starts = batch.column(at_file), batch.column(at_block)
+            n = batch.num_rows
+            before, rows = np.empty(n, np.int64), np.empty(n, np.int64)
+            edges = [0, *(i for i in range(1, n) if starts[i] != starts[i - 1] or files[i] != files[i - 1]), n]
+            for lo, hi in zip(edges, edges[1:]):
+                if lo == hi:
+                    continue
+                if (files[lo].as_py(), starts[lo].as_py()) != block:
+                    block, seen, docs = (files[lo].as_py(), starts[lo].as_py()), 0, 0
+                ends, ranks = np.cumsum(sizes[lo:hi]) + seen, np.cumsum(there[lo:hi]) + docs
+                before[lo:hi], rows[lo:hi] = ends - sizes[lo:hi], ranks - there[lo:hi]
+                seen, docs = int(ends[-1]), int(ranks[-1])
+            more = [pa.array(sizes.astype(np.int32)), pa.array(before), pa.array(rows)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*names, "n_tokens", "_before", "_row"])
+
+    written = stage(tokens.mapInArrow(count, kinds.replace(":", " ") + ",n_tokens int,_before bigint,_row bigint"), label)
+    block = ["file_path", "file_block_start"]
+    here = [F.sum("n_tokens").alias("_toks"), F.count("tokens").alias("_docs")]
+    sums = written.groupBy(*block).agg(*here)
+    order = Window.orderBy(*block)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(
+        *block,
+        F.coalesce(F.sum("_toks").over(before), F.lit(0)).alias("_toks"),
+        F.coalesce(F.sum("_docs").over(before), F.lit(0)).alias("_docs"),
+        F.sum("_docs").over(Window.partitionBy()).alias("n_docs"),
+    )
+    if written.select(*block).distinct().count() <= MAX_SLOTS:
+        starts = F.broadcast(starts)
+    placed_rows = (
+        written.where("tokens is not null")
+        .join(starts, block)
+        .withColumn("doc_ord", F.col("_docs") + F.col("_row"))
+        .withColumn("tok_offset", F.col("_toks") + F.col("_before"))
+        .drop("_docs", "_row", "_toks", "_before")
+    )
+    placed_rows._scanned = written
+    return placed_rows
+
+
 def with_offsets(
-    df: DataFrame,
-    key: str,
-    tokens: str = "tokens",
-    slots: int | None = None,
-    keys: DataFrame | None = None,
+    df: DataFrame, key: str, tokens: str = "tokens", slots: int | None = None, written: bool = False
 ) -> DataFrame:
     """Add ``n_tokens``, the dense document ordinal ``doc_ord``, the running
     token offset ``tok_offset`` in ``key`` order, and ``n_docs``.
 
     One shuffle of the token rows. Output tasks hold consecutive documents.
     """
-    return placed(df, key, tokens, slots, keys).drop("slot_from", "slot_to")
+    return placed(df, key, tokens, slots, written).drop("slot_from", "slot_to")
 
 
 def with_rank(

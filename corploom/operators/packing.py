@@ -63,6 +63,7 @@ def _cut(batches: Iterator[pa.RecordBatch], seq_len: int):
 
 
 SAMPLE = "sample_id bigint, tokens array<int>"
+GROUP_SAMPLES = 1 << 40  # more than a group has
 
 
 def _whole_batch(first: int, rows: np.ndarray) -> pa.RecordBatch:
@@ -86,15 +87,21 @@ def pack_in_order(
     seq_len: int,
     keep_tail: bool = False,
     slots: int | None = None,
-    keys: DataFrame | None = None,
+    written: bool = False,
+    group: str | None = None,
+    groups: int = 1,
 ) -> DataFrame:
     """Samples ``(sample_id, tokens)`` of exactly ``seq_len`` tokens from the
     ``tokens`` of documents in ``key`` order.
 
     The incomplete last sample is dropped unless ``keep_tail``. The token rows
-    are shuffled once and pass through Python once.
+    are shuffled once and pass through Python once. With ``group`` (numbers below
+    ``groups``) each group is packed by itself and goes along as a column.
     """
-    docs = placed(df, key, slots=slots, keys=keys).where("n_tokens > 0")
+    docs = placed(df, key, slots=slots, written=written, group=group, groups=groups).where("n_tokens > 0")
+    apart = GROUP_SAMPLES * seq_len
+    if group:  # positions of different groups never meet in a sample
+        docs = docs.withColumns({c: F.col(c) + F.col(group) * apart for c in ("tok_offset", "slot_from", "slot_to")})
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for kind, first, rows in _cut(batches, seq_len):
@@ -122,7 +129,12 @@ def pack_in_order(
     at_an_end = docs.where((at < head_to) | (end > tail_from))
     pieces = at_an_end.select(F.inline(F.array(head, tail))).where(F.size("tokens") > 0)
     inner = docs.select("tok_offset", "tokens", "slot_from").mapInArrow(cut, SAMPLE)
-    return inner.unionByName(_join_pieces(pieces, seq_len, keep_tail))
+    samples = inner.unionByName(_join_pieces(pieces, seq_len, keep_tail))
+    if not group:
+        return samples
+    return samples.withColumn(group, int_div("sample_id", GROUP_SAMPLES).cast("int")).withColumn(
+        "sample_id", F.col("sample_id") % GROUP_SAMPLES
+    )
 
 
 def pack(df: DataFrame, seq_len: int, keep_tail: bool = False) -> DataFrame:

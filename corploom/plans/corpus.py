@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corploom.functions.arrays import append_eod, append_eos
-from corploom.functions.tokenizers import tokenize
-from corploom.operators.ordering import with_offsets
-from corploom.operators.packing import concat_order, pack_in_order
+from corploom.functions.arrays import append_eos
+from corploom.functions.tokenizers import tokenize, tokens_of
+from corploom.operators.ordering import in_scan_order, with_offsets
+from corploom.operators.packing import concat_order, pack, pack_in_order
 from corploom.operators.splits import split_weighted
-from corploom.session import releasing
-from corploom.sources.readers import scan_dataset, scan_jsonl, scan_shards, scan_text
+from corploom.session import releasing, stage
+from corploom.sources.readers import BAD_RECORD, scan_dataset, scan_jsonl, scan_order, scan_shards, scan_text
 from corploom.sources.writers import write_indexed, write_shards
 
 
@@ -31,7 +31,36 @@ def build_corpus(
     tokens = tokenize(docs.select(key, "text"), "text", tok)
     if eos_text or use_tokenizer_eos:
         tokens = append_eos(tokens, tok, eos_text, use_tokenizer_eos)
-    return pack_in_order(tokens, key, concat_tokens, slots=slots, keys=docs)
+    return pack_in_order(tokens, key, concat_tokens, slots=slots)
+
+
+SCAN_ORDER = ("file_path", "file_block_start", "position")
+
+
+def _jsonl_tokens(spark: SparkSession, path: str, key: str | None, tok, **end) -> tuple[DataFrame, DataFrame]:
+    """``(rows, bad)`` from one pass over the lines: ended tokens with their order, written
+    once, and the lines that do not parse. With a ``key`` the rows are in no order yet
+    and have ``n_tokens``; without one they are placed in the order of the scan."""
+    lines = scan_jsonl(spark, path, id_cols=f"{key} bigint" if key else "")
+    lines = lines if key else scan_order(lines)
+    text = F.when(F.col(BAD_RECORD).isNull(), F.col("text"))
+    tokens = lines.select(*((key,) if key else SCAN_ORDER), BAD_RECORD, tokens_of(text, tok).alias("tokens"))
+    tokens = append_eos(tokens, tok, **end)
+    if key is None:
+        rows = in_scan_order(tokens)
+        written = rows._scanned
+    else:
+        written = stage(tokens.withColumn("n_tokens", F.coalesce(F.size("tokens"), F.lit(0))), "tokens")
+        rows = written.where("tokens is not null")
+    return rows.drop(BAD_RECORD), written.where(F.col(BAD_RECORD).isNotNull()).select(BAD_RECORD)
+
+
+def _keep_bad(bad: DataFrame, out: str) -> int:
+    """Write lines that do not parse beside the output; their number."""
+    n = bad.count()
+    if n:
+        bad.write.text(f"{out}/_bad_lines")
+    return n
 
 
 def jsonl_to_shards(
@@ -42,13 +71,40 @@ def jsonl_to_shards(
     tok="words",
     eos_text: str = "<|end_of_text|>",
     split_names: tuple[str, ...] = ("train",),
-    key: str = "doc_id",
+    key: str | None = "doc_id",
 ) -> DataFrame:
-    """JSON-lines corpus to packed shards; every named split gets a full copy."""
-    docs = scan_jsonl(spark, path, id_cols=f"{key} bigint")
+    """JSON-lines corpus to packed shards; every named split gets a full copy.
+
+    In the order of ``key``, or with ``key=None`` in the order of the files and their
+    lines, which moves no tokens but those at the ends of blocks. Lines that do not
+    parse (also those whose key is no number) are written to ``_bad_lines`` and
+    counted in the manifest.
+    """
     with releasing(spark):
-        samples = build_corpus(docs, key, tok, seq_len, eos_text=eos_text)
-        return write_shards(samples, out_root, tok, seq_len, split_names[0], split_names[1:])
+        rows, bad = _jsonl_tokens(spark, path, key, tok, eos_text=eos_text)
+        samples = pack(rows, seq_len) if key is None else pack_in_order(rows, key, seq_len, written=True)
+        done = write_shards(samples, out_root, tok, seq_len, split_names[0], split_names[1:], n_bad=bad.count())
+        _keep_bad(bad, out_root)
+        return done
+
+
+def jsonl_to_raw_shards(
+    spark: SparkSession,
+    path: str,
+    out_root: str,
+    split_names: tuple[str, ...] = ("train",),
+    key: str | None = "doc_id",
+) -> DataFrame:
+    """JSON-lines corpus to unpacked compressed shards: one text per document."""
+    lines = scan_jsonl(spark, path, id_cols=f"{key} bigint" if key else "")
+    bad = lines.where(F.col(BAD_RECORD).isNotNull()).select("text", BAD_RECORD)
+    good = lines.where(F.col(BAD_RECORD).isNull())
+    docs = concat_order(good, key) if key else good.where(F.col("text").isNotNull()).select("text")
+    with releasing(spark):
+        bad = stage(bad, "bad-lines").select(BAD_RECORD)
+        done = write_shards(docs, out_root, split=split_names[0], copies=split_names[1:], n_bad=bad.count())
+        _keep_bad(bad, out_root)
+        return done
 
 
 def text_to_shards(
@@ -77,13 +133,17 @@ def dataset_to_shards(
     eos_text: str = "<|end_of_text|>",
     key: str = "doc_id",
 ) -> DataFrame:
-    """Named dataset to packed shards; each split is packed on its own."""
-    for name in splits:
-        docs = scan_dataset(spark, root, subset, (name,))
-        with releasing(spark):
-            samples = build_corpus(docs, key, tok, seq_len, eos_text=eos_text)
-            written = write_shards(samples, out_root, tok, seq_len, name)
-    return written
+    """Named dataset to packed shards; each split is packed on its own, all in one
+    pass: the split's number is a group of the running sums."""
+    names = F.array(*[F.lit(name) for name in splits])
+    docs = scan_dataset(spark, root, subset, splits)
+    number = (F.array_position(names, F.col("split")) - 1).cast("int")
+    with releasing(spark):
+        tokens = tokenize(docs.select(key, "text", number.alias("group")), "text", tok)
+        tokens = append_eos(tokens, tok, eos_text)
+        samples = pack_in_order(tokens, key, seq_len, group="group", groups=len(splits))
+        samples = samples.withColumn("split", names[F.col("group")]).drop("group")
+        return write_shards(samples, out_root, tok, seq_len)
 
 
 def jsonl_to_indexed(
@@ -93,13 +153,14 @@ def jsonl_to_indexed(
     tok="words",
     weights=(949, 50, 1),
     names=("train", "valid", "test"),
-    key: str = "doc_id",
+    key: str | None = "doc_id",
 ) -> DataFrame:
-    """JSON-lines corpus to the indexed token table, labelled by weighted split."""
-    docs = scan_jsonl(spark, path, id_cols=f"{key} bigint")
-    tokens = append_eod(tokenize(docs, "text", tok), tok)
+    """JSON-lines corpus to the indexed token table, labelled by weighted split; order
+    and bad lines as in :func:`jsonl_to_shards`."""
     with releasing(spark):
-        indexed = write_indexed(with_offsets(tokens, key, keys=docs), out)
+        rows, bad = _jsonl_tokens(spark, path, key, tok, use_tokenizer_eos=True)
+        indexed = write_indexed(rows if key is None else with_offsets(rows, key, written=True), out)
+        _keep_bad(bad, out)
     return split_weighted(indexed, weights, names, "doc_ord", F.lit(indexed.count()).cast("bigint"))
 
 

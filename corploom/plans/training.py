@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corploom.functions.durations import duration_batches
+from corploom.functions.durations import duration_batches, interval_batches
 from corploom.operators.batching import (
     assign_batches,
     assign_devices,
@@ -54,14 +54,27 @@ def training_plan(
     samples: DataFrame, recipe: Recipe, rows: int | None = None, key: str = "sample_id"
 ) -> DataFrame:
     """Full plan: epoch, batch, device, microbatch and position of every read."""
+    rows = samples.select(key).count() if rows is None else rows
     plan = epoch_plan(samples, recipe, rows, key)
     plan = assign_devices(plan, recipe.global_batch, recipe.devices, recipe.micro_size)
-    plan = with_markers(plan, recipe.eval_interval, recipe.save_interval, recipe.eval_first)
+    per_epoch = batches_per_epoch(rows, recipe.global_batch, recipe.drop_last)
+    evals, saves = (interval_batches(i, per_epoch) for i in (recipe.eval_interval, recipe.save_interval))
+    plan = with_markers(plan, evals, saves, recipe.eval_first)
     return plan.withColumnRenamed(key, "sample_id").select(*PLAN_COLUMNS)
 
 
-def evaluation_plan(samples: DataFrame, recipe: Recipe, batch_size: int, key: str = "sample_id") -> DataFrame:
+def evaluation_plan(
+    samples: DataFrame, recipe: Recipe, batch_size: int | None = None, key: str = "sample_id"
+) -> DataFrame:
     """Evaluation batches in key order, cut to the configured subset."""
+    batch_size = batch_size or recipe.eval_batch or recipe.global_batch
     ids = samples.select(key)
-    plan = assign_batches(with_rank(ids, key, written=True), batch_size, recipe.drop_last, ids.count())
+    plan = assign_batches(with_rank(ids, key, written=True), batch_size, recipe.eval_drop_last, ids.count())
     return eval_subset(plan, recipe.eval_subset_batches)
+
+
+def evaluation_reads(samples: DataFrame, recipe: Recipe, key: str = "sample_id") -> DataFrame:
+    """:func:`evaluation_plan` with the device, microbatch and position of every read."""
+    plan = evaluation_plan(samples, recipe, key=key)
+    plan = assign_devices(plan, recipe.eval_batch or recipe.global_batch, recipe.devices, recipe.micro_size)
+    return plan.select("batch", "device", "micro", "pos", F.col(key).alias("sample_id"))

@@ -65,8 +65,11 @@ def releasing(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _staged.reset(outer)
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
         for name in mine:
-            path = hadoop.Path(name)
-            path.getFileSystem(conf).delete(path, True)
+            delete(spark, name)
+
+
+def delete(spark: SparkSession, name: str) -> None:
+    """Delete a folder, if it is there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -15,12 +15,12 @@ def scan_jsonl(
     path: str,
     text_col: str = "text",
     id_cols: str = "doc_id bigint",
-    bad_records: str = "drop",
+    bad_records: str = "keep",
 ) -> DataFrame:
     """JSON-lines corpus with a declared schema, so no pass is spent inferring.
 
-    ``bad_records``: ``drop`` lines that do not parse, ``keep`` them in
-    ``_bad_record``, or ``fail``.
+    ``bad_records``: ``keep`` lines that do not parse in ``_bad_record`` (null for
+    good lines), ``fail``, or ``drop`` them.
     """
     fields = ", ".join(f for f in (id_cols, f"{text_col} string") if f)
     modes = {"drop": "DROPMALFORMED", "keep": "PERMISSIVE", "fail": "FAILFAST"}
@@ -31,18 +31,31 @@ def scan_jsonl(
     return reader.schema(fields).json(path)
 
 
+def scan_order(df: DataFrame) -> DataFrame:
+    """Where each row of a file scan comes from: ``file_path``, ``file_block_start`` and
+    ``position``, which grows along a block. Rows are in this order in every task."""
+    return df.select(
+        "*",
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("file_block_start"),
+        F.monotonically_increasing_id().alias("position"),
+    )
+
+
 def fix_scan_order(df: DataFrame, out: str = "ord") -> DataFrame:
-    """Give rows without an id an order, fixed once by writing it.
+    """Give rows without an id an order, fixed once by writing it; the caller
+    deletes the table.
 
     File, then block within the file, then position within the block.
     """
     order = F.concat_ws(
         ":",
-        F.col("_metadata.file_path"),
-        F.lpad(F.col("_metadata.file_block_start").cast("string"), 16, "0"),
-        F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0"),
+        "file_path",
+        F.lpad(F.col("file_block_start").cast("string"), 16, "0"),
+        F.lpad(F.col("position").cast("string"), 20, "0"),
     )
-    return stage(df.withColumn(out, order), "ordered-scan")
+    rows = scan_order(df).withColumn(out, order).drop("file_path", "file_block_start", "position")
+    return stage(rows, "ordered-scan")
 
 
 def scan_text(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,8 +84,14 @@ def scan_instructions(spark: SparkSession, root: str, split: str) -> DataFrame:
     return scan_dataset(spark, root, splits=(split,))
 
 
+MANIFEST = (
+    "n_samples bigint, n_tokens bigint, seq_len int, tokenizer string, eos_id int, n_shards int, n_bad bigint, split string"
+)
+
+
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/_manifest")
+    """One row per split, each written with its split."""
+    return spark.read.schema(MANIFEST).parquet(f"{root}/_manifest")
 
 
 def scan_shards(

@@ -102,6 +102,7 @@ def test_followed_log_equals_batch_and_restarts_clean(spark, tmp_path):
     for lo, hi in ((0, 5), (5, 40), (40, 41), (41, 2000)):
         write(logs, f"{lo:04d}.log", [line(r, b, t, s) for r, (b, s, t) in points if lo <= b < hi])
         run()
+    follow.finish_rolling(spark, out, state)
     done = spark.read.parquet(out)
     want = metrics.rolling_speed(metric_rows(spark, logs))
     assert done.count() == want.count() == len(points)

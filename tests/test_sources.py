@@ -30,7 +30,7 @@ def write_lines(path, lines):
 def test_bad_json_lines(spark, tmp_path):
     good = [json.dumps({"doc_id": i, "text": f"t{i}"}) for i in range(3)]
     path = write_lines(tmp_path / "c.jsonl", [good[0], "{broken", good[1], "plain text", good[2]])
-    dropped = readers.scan_jsonl(spark, path)
+    dropped = readers.scan_jsonl(spark, path, bad_records="drop")
     assert dropped.count() == 3 and {r.text for r in dropped.collect()} == {"t0", "t1", "t2"}
     kept = readers.scan_jsonl(spark, path, bad_records="keep").collect()
     assert sorted(r._bad_record for r in kept if r._bad_record) == ["plain text", "{broken"]
