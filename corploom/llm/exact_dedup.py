@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corploom.llm.frames import BLANKS, pick, text_of
+from corploom.llm.frames import BLANKS, numbered, pick, restored, text_of
 from corploom.session import stage
 
 HEAD = 16
@@ -141,12 +141,9 @@ def keep_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The rows of ``docs`` that stay, with all their columns."""
     stays = dedup_exact(docs, id_col, text_col).where("kept")
     stays = stays.select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"), F.col("chars").alias("_chars"))
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    mine = docs.withColumn("_sha_here", F.sha2(normalised(text).cast("binary"), 256))
-    on = (
-        F.col(f"`{id_col}`").eqNullSafe(F.col("_id"))
-        & (F.col("_sha_here") == F.col("_sha"))
-        & (F.length(text) == F.col("_chars"))
-    )
+    mine, names = numbered(docs)
+    text, key = text_of(names[text_col]), names[id_col]
+    mine = mine.withColumn("sha", F.sha2(normalised(text).cast("binary"), 256))
+    on = F.col(key).eqNullSafe(F.col("_id")) & (F.col("sha") == F.col("_sha")) & (F.length(text) == F.col("_chars"))
     # repeated rows match alike; the key has them side by side already
-    return mine.join(stays, on, "left_semi").dropDuplicates([id_col, "_sha_here"]).drop("_sha_here")
+    return restored(mine.join(stays, on, "left_semi").dropDuplicates([key, "sha"]), names)

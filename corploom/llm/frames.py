@@ -6,12 +6,16 @@ from __future__ import annotations
 import io
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corploom.session import stage
+
+BATCH_BYTES = 4 << 20
 BLANKS = " \t\n\x0b\x0c\r"
 """The characters of ``[\\x20\\x09-\\x0D]``."""
 
@@ -21,6 +25,37 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{name}`").alias(alias) for alias, name in columns.items()])
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns renamed ``c0``, ``c1`` and so on, so that columns added to it
+    cannot clash, and the new name of each."""
+    names = {name: f"c{i}" for i, name in enumerate(df.columns)}
+    return df.select(*[F.col(f"`{name}`").alias(new) for name, new in names.items()]), names
+
+
+def restored(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The columns of :func:`numbered` under their own names, without others."""
+    return df.select(*[F.col(new).alias(name) for name, new in names.items()])
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs inside send texts to Python in batches of ``BATCH_BYTES``, so that a worker's
+    memory does not follow the length of the documents."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def stage_small(df: DataFrame, label: str) -> DataFrame:
+    """:func:`stage` with :func:`small_batches`."""
+    with small_batches(df.sparkSession):
+        return stage(df, label)
+
+
 def text_of(column: str = "text") -> Column:
     """Null counts as empty."""
     return F.coalesce(F.col(column), F.lit(""))

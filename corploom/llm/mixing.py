@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corploom.llm.frames import pick, text_of
+from corploom.llm.frames import numbered, pick, restored, text_of
 from corploom.session import stage
 
 BUCKETS = 4096
@@ -115,9 +115,8 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     plan = plan.groupBy(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash")).agg(
         F.sum("copies").alias("_copies")
     )
-    mine = docs.withColumn("_here", F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))).dropDuplicates(
-        [id_col, "_here"]
-    )
-    on = F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.col("_here") == F.col("_hash"))
+    mine, names = numbered(docs)
+    mine = mine.withColumn("here", F.xxhash64(text_of(names[text_col]))).dropDuplicates([names[id_col], "here"])
+    on = F.col(names[id_col]).eqNullSafe(F.col("_id")) & (F.col("here") == F.col("_hash"))
     taken = mine.join(plan.where("_copies > 0"), on)
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies"))).select(*docs.columns)
+    return restored(taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies"))), names)

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corploom.llm.components import components
-from corploom.llm.frames import pick, text_of
+from corploom.llm.frames import numbered, pick, restored, stage_small, text_of
 from corploom.llm.pairwise import compare_pairs
 from corploom.llm.shingles import Words, mix, slices
 from corploom.session import stage
@@ -130,7 +130,7 @@ def link_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     source = source.withColumn("tie", F.xxhash64("text"))
     kind = source.schema["id"].dataType.simpleString()
     columns = f"id {kind}, tie bigint, n_shingles bigint, set_id binary, bands array<bigint>, bitmap array<bigint>"
-    signed = stage(source.select("id", "tie", "text").mapInArrow(_signed, columns), "near-signed")
+    signed = stage_small(source.select("id", "tie", "text").mapInArrow(_signed, columns), "near-signed")
 
     sets = signed.where("set_id is not null")
     # numbered once and written, so the numbers stay
@@ -146,7 +146,7 @@ def link_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     members = stage(banded.join(buckets.drop("n"), "key"), "near-buckets")
 
     stars = stage(members.where("node <> pivot").select("pivot", "node").distinct(), "near-pairs")
-    links = stage(verify(stars, nodes, source), "near-links")
+    links = stage_small(verify(stars, nodes, source), "near-links")
     roots = components(links)
 
     # what the first comparison left open
@@ -161,7 +161,7 @@ def link_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     on = (F.col("l.key") == F.col("r.key")) & (F.col("l.root") != F.col("r.root")) & once & _may_be_similar()
     rest = left.join(right, on).select(F.col("l.node").alias("pivot"), F.col("r.node").alias("node")).distinct()
     rest = stage(rest, "near-rest")
-    more = stage(verify(rest, nodes, source), "near-links")
+    more = stage_small(verify(rest, nodes, source), "near-links")
     rows = signed.join(nodes.select("set_id", "node"), "set_id", "left").select("id", "tie", "n_shingles", "node")
     return rows, links.unionByName(more)
 
@@ -200,6 +200,7 @@ def keep_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """The rows of ``docs`` that stay, with all their columns; of rows alike in identifier
     and text one."""
     stays = dedup_near(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_id"), F.col("tie").alias("_tie"))
-    mine = docs.withColumn("_here", F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
-    on = F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.col("_here") == F.col("_tie"))
-    return mine.join(stays, on, "left_semi").dropDuplicates([id_col, "_here"]).drop("_here")
+    mine, names = numbered(docs)
+    mine = mine.withColumn("tie", F.xxhash64(text_of(names[text_col])))
+    on = F.col(names[id_col]).eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))
+    return restored(mine.join(stays, on, "left_semi").dropDuplicates([names[id_col], "tie"]), names)
