@@ -152,7 +152,7 @@ def log_lines(spark: SparkSession, sf: str) -> DataFrame:
             (F.col("event_id") % 8).cast("int").alias("device"),
             tokens.alias("tokens"),
             F.col("value").alias("loss"),
-            (F.lit(1.0) / (batch + 1)).alias("lr"),
+            (F.lit(1.0) / (batch + 1) * (1 + F.col("rank") % 2)).alias("lr"),
             (F.col("event_id") * 1024 + tokens).alias("mem_bytes"),
         )
     )

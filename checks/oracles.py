@@ -189,7 +189,7 @@ EVENT_RANKS = """SELECT user_id, event_id,
   event_type, value, ts FROM events"""
 LINES = f"""SELECT CAST(user_id AS VARCHAR) AS run_id, CAST(rank // 2 AS BIGINT) AS batch, ts,
   CAST(event_id % 8 AS INTEGER) AS device, CAST(floor(value * 100) AS BIGINT) AS tokens,
-  value AS loss, 1.0::DOUBLE / (rank // 2 + 1)::DOUBLE AS lr,
+  value AS loss, 1.0::DOUBLE / (rank // 2 + 1)::DOUBLE * (1 + rank % 2) AS lr,
   CAST(event_id * 1024 + CAST(floor(value * 100) AS BIGINT) AS BIGINT) AS mem_bytes,
   event_type = 'error' AS is_note,
   'error user=' || user_id || ' event=' || event_id AS note
@@ -208,7 +208,7 @@ FROM (SELECT *, count(*) OVER w AS n, sum(tokens) OVER w AS total,
   WINDOW w AS (PARTITION BY run_id ORDER BY batch ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)) s"""
 ETA = f"""SELECT *, greatest(1000 - batch - 1, 0)::DOUBLE / batches_per_sec AS eta_sec FROM ({SPEED}) q"""
 MEMORY = f"SELECT run_id, batch, max(mem_bytes) AS peak_bytes FROM ({METRICS}) m GROUP BY run_id, batch"
-LR = f"""SELECT run_id, batch, arg_max(lr, ts) AS lr FROM ({METRICS}) m GROUP BY run_id, batch"""
+LR = f"""SELECT run_id, batch, arg_max(lr, epoch_us(ts) * 8 + device) AS lr FROM ({METRICS}) m GROUP BY run_id, batch"""
 
 LOG_COUNTS = f"""SELECT CASE WHEN is_note THEN note ELSE
   '{{"run_id":"' || run_id || '","batch":' || batch || ',"ts":"'

@@ -141,23 +141,37 @@ class BpeTokenizer:
         return F.regexp_extract_all(text, F.lit(BPE_PARTS), F.lit(0))
 
     def encoder(self):
-        from tokenizers import Tokenizer, models
-
-        # Spark already runs one worker per core
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        vocab = json.loads(self.vocab_json)
         lines = [m for m in self.merges_text.splitlines() if m and not m.startswith("#version")]
-        pairs = [tuple(m.split(" ")) for m in lines]
-        model = Tokenizer(models.BPE(vocab=json.loads(self.vocab_json), merges=pairs))
+        ranks = {tuple(m.split(" ")): rank for rank, m in enumerate(lines)}
         symbols = dict(enumerate(byte_symbols()))
 
         def distinct(parts: list[bytes]) -> pa.ListArray:
             spelled = [p.decode("latin-1").translate(symbols) for p in parts]
-            coded = model.encode_batch_fast(spelled, add_special_tokens=False)
-            return pa.array([e.ids for e in coded], pa.list_(pa.int32()))
+            return pa.array([[vocab[s] for s in merged(p, ranks)] for p in spelled], pa.list_(pa.int32()))
 
         return lambda rows: _encode_parts(rows, distinct)
 
 
+def merged(part: str, ranks: dict[tuple[str, str], int]) -> list[str]:
+    """The symbols of a part after all merges, the earliest merge first."""
+    symbols, last = list(part), len(ranks)
+    while len(symbols) > 1:
+        pair = min(zip(symbols, symbols[1:]), key=lambda p: ranks.get(p, last))
+        if pair not in ranks:
+            break
+        out, i = [], 0
+        while i < len(symbols):
+            if tuple(symbols[i : i + 2]) == pair:
+                out.append(pair[0] + pair[1])
+                i += 2
+            else:
+                out.append(symbols[i])
+                i += 1
+        symbols = out
+    return symbols
+
+
 def byte_symbols() -> list[str]:
     """The byte-level alphabet: printable bytes stand for themselves, the
     others for the code points from 256 on, in byte order."""

@@ -97,7 +97,7 @@ def jsonl_to_raw_shards(
 ) -> DataFrame:
     """JSON-lines corpus to unpacked compressed shards: one text per document."""
     lines = scan_jsonl(spark, path, id_cols=f"{key} bigint" if key else "")
-    bad = lines.where(F.col(BAD_RECORD).isNotNull()).select("text", BAD_RECORD)
+    bad = lines.where(F.col(BAD_RECORD).isNotNull())  # with all columns: a line is bad for any of them
     good = lines.where(F.col(BAD_RECORD).isNull())
     docs = concat_order(good, key) if key else good.where(F.col("text").isNotNull()).select("text")
     with releasing(spark):

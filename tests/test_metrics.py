@@ -1,9 +1,12 @@
 """Log metrics in batch, and streams against the batch result."""
 
+import itertools
 import json
+import os
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from corploom.sources import readers
 from corploom.streaming import follow, metrics
@@ -18,9 +21,15 @@ def line(run, batch, tokens=100, seconds=None, device=0, **more):
     return json.dumps(body | more)
 
 
+_clock = itertools.count(1_700_000_000)
+
+
 def write(folder, name, lines):
+    """Each file a second younger than the one before, as a stream takes them by age."""
     folder.mkdir(exist_ok=True)
     (folder / name).write_text("\n".join(lines) + "\n")
+    at = next(_clock)
+    os.utime(folder / name, (at, at))
 
 
 def metric_rows(spark, folder):
@@ -137,15 +146,54 @@ def test_stop(spark, tmp_path):
 
 
 def test_windows_agree_with_a_table(spark, tmp_path):
-    lines = [line("r", b, 10, b * 60) for b in range(100)]
-    write(tmp_path / "logs", "a.log", lines)
-    stream = metrics.windowed_metrics(metrics.metric_rows(readers.follow_logs(spark, str(tmp_path / "logs"))), "10 minutes")
-    follow.follow_to(stream, str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True).awaitTermination()
-    closed = spark.read.parquet(str(tmp_path / "out"))
+    """Open windows included, over several triggers."""
+    for k in range(4):
+        write(tmp_path / "logs", f"{k}.log", [line("r", b, 10, b * 60) for b in range(25 * k, 25 * k + 25)])
+    rows = metrics.metric_rows(readers.follow_logs(spark, str(tmp_path / "logs"), files_per_trigger=1))
+    out = str(tmp_path / "out")
+    follow.follow_windows(rows, out, str(tmp_path / "cp"), "10 minutes", available_now=True).awaitTermination()
     table = metrics.windowed_metrics(metric_rows(spark, tmp_path / "logs"), "10 minutes")
-    # the last window and the one within the allowed lateness are still open
-    assert closed.count() == 8 and table.count() == 10
-    assert closed.exceptAll(table).count() == 0
+    got = follow.read_windows(spark, out).select(*table.columns)
+    assert got.count() == table.count() == 10
+    assert got.exceptAll(table).count() == 0
+
+
+def test_batches_cut_by_triggers(spark, tmp_path):
+    """Each batch once, whole, wherever files end; old state goes; late lines are kept."""
+    logs, out, state = tmp_path / "logs", str(tmp_path / "out"), str(tmp_path / "state")
+    lines = [line("r", b, 10 + d, b * 60 + d, device=d) for b in range(30) for d in range(4)]
+    for k, (lo, hi) in enumerate(((0, 2), (2, 51), (51, 53), (53, 90), (90, 120))):
+        write(logs, f"{k}.log", lines[lo:hi])
+
+    def run():
+        rows = metrics.metric_rows(readers.follow_logs(spark, str(logs), files_per_trigger=1))
+        follow.follow_rolling(rows, out, state, str(tmp_path / "cp"), available_now=True).awaitTermination()
+        follow.finish_rolling(spark, out, state)
+
+    run()
+    want = speeds(metrics.rolling_speed(metric_rows(spark, logs)))
+    assert spark.read.parquet(out).count() == 30 and speeds(spark.read.parquet(out)) == want
+    assert len([p for p in (tmp_path / "state").iterdir() if p.name.startswith("trigger")]) <= 2
+    write(logs, "5.log", [line("r", 3, 99, 9999), line("r", 29, 5, 29 * 60 + 9), line("r", 30, 7, 30 * 60)])
+    run()
+    done = spark.read.parquet(out)
+    assert done.count() == 31 and {r.batch: r.tokens for r in done.collect()}[29] == 10 + 11 + 12 + 13 + 5
+    assert spark.read.parquet(f"{state}-late").count() == 1
+
+
+def test_finished_runs_are_forgotten(spark, tmp_path):
+    logs, out, state = tmp_path / "logs", str(tmp_path / "out"), str(tmp_path / "state")
+    write(logs, "0.log", [line("old", b, 10, b) for b in range(5)])
+    write(logs, "1.log", [line("new", b, 10, 100_000 + b) for b in range(5)])
+    write(logs, "2.log", [line("new", b, 10, 100_000 + b) for b in range(5, 9)])
+    rows = metrics.metric_rows(readers.follow_logs(spark, str(logs), files_per_trigger=1))
+    query = follow.follow_rolling(rows, out, state, str(tmp_path / "cp"), available_now=True, expire=3600)
+    query.awaitTermination()
+    last = spark.read.parquet(state)
+    newest = last.agg(F.max("trigger")).first()[0]
+    assert {r.run_id for r in last.where(F.col("trigger") == newest).collect()} == {"new"}
+    follow.finish_rolling(spark, out, state)
+    assert spark.read.parquet(out).count() == 14
 
 
 def test_last_rows(spark):

@@ -185,3 +185,49 @@ def test_plan_moves_tokens_once(spark):
     rows.collect()
     final = rows._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in final
+
+
+@pytest.mark.parametrize("keys", [[1, None, 3], [None, None], [None], [*range(300), None], [None] * 300])
+def test_null_keys_fail_at_every_size(spark, keys):
+    df = spark.createDataFrame([(k, [1, 2]) for k in keys], "k bigint, tokens array<int>")
+    with pytest.raises(Exception, match="null"):
+        ordering.with_rank(df, "k").collect()
+    with pytest.raises(Exception, match="null"):
+        ordering.with_offsets(df, "k").collect()
+
+
+def test_slots_are_cut_by_tokens(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "TOKENS_PER_SLOT", 1000)
+    rows = [(i, [7] * (900 if i < 40 else 1)) for i in range(400)]
+    df = spark.createDataFrame(rows, "k bigint, tokens array<int>")
+    got = ordering.placed(df, "k").collect()
+    assert max(r.slot_to - r.slot_from for r in got) <= 4000  # 11 documents a slot would be 9,900
+    assert [r.tok_offset for r in sorted(got)] == [sum(len(t) for _, t in rows[:i]) for i in range(400)]
+
+
+def test_scan_order_moves_no_tokens(spark, tmp_path):
+    """Without an id the only exchange under token rows is that of the end pieces."""
+    import json
+
+    from corploom.plans.corpus import jsonl_to_shards
+    from corploom.sources.readers import scan_jsonl, scan_order
+
+    texts = [f"document {i} " + "word " * (i % 50) for i in range(300)]
+    for part in range(3):
+        lines = [json.dumps({"text": t}) for t in texts[part * 100 : (part + 1) * 100]]
+        (tmp_path / f"{part}.jsonl").write_text("\n".join(lines) + "\n")
+    tokens = tokenize(scan_order(scan_jsonl(spark, str(tmp_path / "*.jsonl"), id_cols="")), "text", "bytes", drop_text=True)
+    rows = ordering.in_scan_order(tokens.select("file_path", "file_block_start", "position", "tokens"))
+    plan = rows.select("tok_offset", "tokens")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionBy" not in plan and "Sort" not in plan.split("Relation")[0]
+    want, at = [], 0
+    for i, t in enumerate(texts):
+        want.append((i, at))
+        at += len(t.encode())
+    assert sorted((r.doc_ord, r.tok_offset) for r in rows.collect()) == want
+    out = str(tmp_path / "out")
+    jsonl_to_shards(spark, str(tmp_path / "*.jsonl"), out, 64, "bytes", key=None)
+    eos = list("<|end_of_text|>".encode())
+    stream = [b for t in texts for b in [*t.encode(), *eos]]
+    got = sorted((r.sample_id, list(r.tokens)) for r in spark.read.parquet(out).collect())
+    assert got == [(i, stream[i * 64 : (i + 1) * 64]) for i in range(len(stream) // 64)]

@@ -177,3 +177,37 @@ def test_jobs_side_by_side_keep_their_tables(spark):
     assert theirs.count() == 5
     with pytest.raises(Exception, match="(?i)not.exist|PATH_NOT_FOUND"):
         mine.count()
+
+
+def test_malformed_lines_are_kept_and_counted(spark, tmp_path):
+    """200 good lines; 100 with good text and a string for a number."""
+    lines = [json.dumps({"doc_id": i if i % 3 else f"x{i}", "text": f"text {i}"}) for i in range(300)]
+    path = write_lines(tmp_path / "c.jsonl", lines)
+    made = corpus.jsonl_to_shards(spark, path, str(tmp_path / "packed"), 8, "bytes").collect()
+    assert [r.n_bad for r in made] == [100]
+    kept = (tmp_path / "packed" / "_bad_lines").glob("part-*")
+    assert sorted(x for p in kept for x in p.read_text().splitlines()) == sorted(x for x in lines if '"x' in x)
+    assert corpus.jsonl_to_indexed(spark, path, str(tmp_path / "indexed"), "bytes").count() == 200
+    assert (tmp_path / "indexed" / "_bad_lines").exists()
+    made = corpus.jsonl_to_raw_shards(spark, path, str(tmp_path / "raw")).collect()
+    assert [(r.n_bad, r.n_samples) for r in made] == [(100, 200)]
+
+
+def test_a_split_keeps_its_manifest(spark, tmp_path):
+    samples = spark.createDataFrame([(i, [1] * 8) for i in range(5)], "sample_id bigint, tokens array<int>")
+    root = str(tmp_path / "shards")
+    writers.write_shards(samples, root, "words", 8, split="train")
+    writers.write_shards(samples, root, "bytes", 4, split="val")
+    rows = {r.split: (r.tokenizer, r.seq_len, r.n_samples) for r in readers.read_manifest(spark, root).collect()}
+    assert rows == {"train": ("words", 8, 5), "val": ("bytes", 4, 5)}
+    assert readers.scan_shards(spark, root, "train", "words", 8).count() == 5
+    with pytest.raises(ValueError, match="made with tokenizer"):
+        readers.scan_shards(spark, root, "train", "bytes", 4)
+    with pytest.raises(ValueError, match="holds"):
+        writers.write_shards(samples, root, "bytes", 4, split="train", mode="append")
+
+
+def test_locations_are_quoted(spark, tmp_path):
+    writers.ensure_namespace(spark, "quoted", str(tmp_path / "it's"))
+    assert "it's" in spark.sql("DESCRIBE DATABASE quoted").where("info_name = 'Location'").first().info_value
+    spark.sql("DROP DATABASE quoted")
