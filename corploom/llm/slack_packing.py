@@ -31,10 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corploom.llm.encode import encoder
-from corploom.llm.frames import pick, text_of
-from corploom.session import stage
-
-TEXTS_AT_ONCE = 1_000
+from corploom.llm.frames import pick, stage_small, text_of
 
 
 class Pattern(NamedTuple):
@@ -99,20 +96,15 @@ def pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, part, seen = encoder(tokenizer), TaskContext.get().partitionId(), Counter()
-        width, end = codec.width, codec.id_bytes(end_id)
         types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                few = batch.slice(at, TEXTS_AT_ONCE)
+            for few, ids, edges in codec.batches(batch, 1, end_id):
                 rows = []
-                for i, raw in enumerate(codec.encode(few.column(1).to_pylist())):
-                    raw += end
-                    n = len(raw) // width
-                    for piece, start in enumerate(range(0, n, capacity)):
-                        ids = raw[start * width : (start + capacity) * width]
-                        length = len(ids) // width
-                        crc = zlib.crc32(np.frombuffer(ids, f"<u{width}").astype("<u4"))
-                        rows.append((i, piece, start, length, crc, ids, part, seen[length]))
+                for i, (begin, end) in enumerate(zip(edges.tolist(), edges[1:].tolist())):
+                    for piece, at in enumerate(range(begin, end, capacity)):
+                        own = ids[at : min(end, at + capacity)]
+                        length, crc = own.size, zlib.crc32(own.astype("<u4"))
+                        rows.append((i, piece, at - begin, length, crc, own.tobytes(), part, seen[length]))
                         seen[length] += 1
                 columns = list(zip(*rows)) if rows else [()] * 8
                 keys = few.column(0).take(pa.array(columns[0], pa.int64()))
@@ -177,7 +169,7 @@ def pack_slack(
     """One row per piece: ``id``, ``piece``, ``start``, ``length``, ``ids_crc32``, ``ids`` (little-endian,
     as wide as the vocabulary needs), ``sequence_id`` and ``offset``. The pieces are
     staged; the caller's job deletes them."""
-    return place(stage(pieces(docs, tokenizer, end_id, capacity, id_col, text_col), "pieces"), capacity)
+    return place(stage_small(pieces(docs, tokenizer, end_id, capacity, id_col, text_col), "pieces"), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

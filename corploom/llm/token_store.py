@@ -32,11 +32,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corploom.llm.encode import encoder, vocabulary_width
-from corploom.llm.frames import file_system, pick, read_file, text_of, write_file
+from corploom.llm.frames import file_system, pick, read_file, small_batches, text_of, write_file
 from corploom.llm.perfect_hash import PerfectHash, fingerprint, halves
 
 KEYS_PER_BUCKET = 250_000
-TEXTS_AT_ONCE = 1_000
 READ_BYTES = 8 << 20
 _NO_KEY = "\x00"
 
@@ -65,26 +64,23 @@ def write_tokens(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, part = encoder(tokenizer), TaskContext.get().partitionId()
-        name, end = f"shard-{part:06d}-{uuid.uuid4().hex}", codec.id_bytes(end_id)
+        name = f"shard-{part:06d}-{uuid.uuid4().hex}"
         system, folder = file_system(root)
         out, sizes, offset = None, array("I"), 0
-        open_key, entry = None, None  # documents of one identifier make one entry
+        entry = None  # documents of one identifier make one entry
         fields = ["id", "part", "name", "row", "rows", "offset", "tokens"]
         for batch in batches:
             done: list[list] = []
-            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                few = batch.slice(at, TEXTS_AT_ONCE)
-                if out is None and few.num_rows:
+            for few, ids, edges in codec.batches(batch, 1, end_id):
+                if out is None:
                     system.create_dir(folder, recursive=True)
                     out = system.open_output_stream(f"{folder}/{name}.ids")
-                raws = codec.encode(few.column(1).to_pylist())
-                for key, raw in zip(few.column(0).to_pylist(), raws):
-                    out.write(raw + end)
-                    n = len(raw) // codec.width + 1
-                    if entry is None or key != open_key:
+                out.write(ids.tobytes())
+                for key, n in zip(few.column(0).to_pylist(), np.diff(edges).tolist()):
+                    if entry is None or key != entry[0]:
                         if entry is not None:
                             done.append(entry)
-                        open_key, entry = key, [key, part, name, len(sizes), 0, offset, 0]
+                        entry = [key, part, name, len(sizes), 0, offset, 0]
                     entry[4] += 1
                     entry[6] += n
                     sizes.append(n)
@@ -97,7 +93,8 @@ def write_tokens(
 
     ids = kind.simpleString()
     columns = f"id {ids}, part int, name string, row bigint, rows bigint, offset bigint, tokens bigint"
-    ordered.mapInArrow(write, columns).write.parquet(f"{root}/entries")
+    with small_batches(spark):
+        ordered.mapInArrow(write, columns).write.parquet(f"{root}/entries")
 
     entries = spark.read.parquet(f"{root}/entries")
     sums = entries.groupBy("part", "name").agg(F.sum("rows").alias("rows"), F.sum("tokens").alias("tokens"))
