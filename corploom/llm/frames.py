@@ -90,7 +90,7 @@ def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
 def write_file(uri: str, name: str, data: bytes) -> None:
     system, root = file_system(uri)
     system.create_dir(root, recursive=True)
-    with system.open_output_stream(f"{root}/{name}") as out:
+    with system.open_output_stream(f"{root}/{name}", compression=None) as out:
         out.write(data)
 
 
