@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corploom.llm.frames import pick, text_of, texts
+from corploom.llm.frames import numbered, pick, restored, text_of, texts
 from corploom.session import stage
 
 PER_CLASS = 3_000
@@ -63,19 +63,19 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     """``(text, toxic, weight)`` of the bounded sample."""
     marked = pick(labels, id=id_col, toxic="toxic").where("id is not null and toxic is not null")
     marked = marked.where(~held_out(F.col("id"))).groupBy("id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    found = pick(docs, id=id_col, text=text_col).select("id", text_of().alias("text")).join(marked, "id")
-    keys = stage(found.select("id", "toxic", F.length("text").alias("chars")), "toxic-keys")
+    # the sample is found among identifiers; only its own texts are ever moved
+    keys = stage(pick(docs, id=id_col).join(marked, "id"), "toxic-keys")
     counts = keys.groupBy("toxic").agg(F.count("*").alias("n"))
-    order = [F.md5(F.col("id").cast("string")), "id", "chars"]
     chosen = None
     for kind in (0, 1):
-        part = keys.where(F.col("toxic") == kind).orderBy(*order).limit(PER_CLASS)
+        part = keys.where(F.col("toxic") == kind).orderBy(F.md5(F.col("id").cast("string")), "id").limit(PER_CLASS)
         chosen = part if chosen is None else chosen.unionByName(part)
     sampled = chosen.groupBy("toxic").agg(F.count("*").alias("m"))
     weights = counts.join(sampled, "toxic").select("toxic", (F.col("n") / F.col("m")).alias("weight"))
     # at most 2 * PER_CLASS rows
-    chosen = F.broadcast(chosen.select("id").distinct())
-    return found.join(chosen, "id", "left_semi").join(F.broadcast(weights), "toxic").select("text", "toxic", "weight")
+    wanted = F.broadcast(chosen.distinct().join(weights, "toxic"))
+    texts_ = pick(docs, id=id_col, text=text_col).select("id", text_of().alias("text"))
+    return texts_.join(wanted, "id").select("text", "toxic", "weight")
 
 
 def choose_features(rows: DataFrame) -> list[str]:
@@ -255,7 +255,5 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with all their columns."""
     model = fit(docs, labels, id_col, text_col)
-    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
-    renamed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
-    scored = score(renamed, model, names[id_col], names[text_col]).where("score < 0.5")
-    return scored.select(*[F.col(n).alias(c) for c, n in names.items()])
+    mine, names = numbered(docs)
+    return restored(score(mine, model, names[id_col], names[text_col]).where("score < 0.5"), names)
