@@ -8,12 +8,15 @@ similarity of 0.75 or more. At that similarity a pair agrees in none of the
 ``BANDS`` bands with probability 5e-6.
 
 Texts with the same set are one node from the start, so copies cost one row each.
-In a bucket of a band, all members are compared with one of them; that links whole
-groups of near copies with as many comparisons as they have members. Where members
-are still in different components after that, those outside the bucket's largest
-component are compared with the members of other components, unless the sizes or a
-bitmap of the sets already show that they cannot be similar. So every candidate pair
-is compared, excluded by an exact bound, or already connected.
+In a bucket of a band, all members are compared with one of them; that links most of
+a group of near copies with as many comparisons as it has members. While buckets
+have members in different components and comparing them all would take more than
+``PAIRS_PER_ROW`` pairs for each, the one with most links so far is compared with the
+members of other components, again at one comparison each (``STARS`` times at most).
+Then those outside a bucket's largest component are compared with all members of
+other components, unless the sizes or a bitmap of the sets already show that they
+cannot be similar. So every candidate pair is compared, excluded by an exact bound,
+or already connected.
 
 Null and empty texts and texts without words have an empty set and are linked with
 nothing. A text of fewer than five words is one shingle. Repeated rows are equal
@@ -42,6 +45,7 @@ WORDS = 5
 PERCENT = 75
 ROWS, BANDS = 4, 32
 BITMAP = 16  # longs
+STARS, PAIRS_PER_ROW = 1, 8
 _U = np.uint64
 _SHUFFLE, _SHIFTED = _U(0x5851F42D4C957F2D), _U(0x14057B7EF767814F)
 _SHIFTS = np.arange(ROWS * BANDS, dtype=np.uint64)
@@ -143,36 +147,78 @@ def link_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
     banded = nodes.select("node", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    members = stage(banded.join(buckets.drop("n"), "key"), "near-buckets")
+    members = stage(banded.join(buckets.drop("n"), "key").where("node <> pivot"), "near-buckets")
+    stars = stage(members.select("pivot", "node").distinct(), "near-pairs")
+    texts = stage(_texts(stars, nodes, source), "near-texts")
+    links = stage_small(verify(stars, texts), "near-links")
+
+    # what comparing with one member left open; a member compared with all others leaves its bucket
+    members = members.select("key", "node")
+    for turn in range(STARS + 1):
+        open_, rows, most = _open(members, components(links), nodes)
+        if not rows:
+            break
+        last = turn == STARS or most <= PAIRS_PER_ROW * rows
+        if last:
+            pairs = _rest(open_)
+        else:
+            ends = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy("a").agg(F.count("*").alias("links"))
+            linked = open_.join(ends.withColumnRenamed("a", "node"), "node", "left")
+            hub = F.max(F.struct(F.coalesce("links", F.lit(0)).alias("links"), "node")).alias("hub")
+            hubs = stage(linked.groupBy("key").agg(hub).select("key", F.col("hub.node").alias("node")), "near-hubs")
+            pairs = _around(open_, hubs)
+        more = stage_small(verify(stage(pairs, "near-pairs"), texts), "near-links")
+        links = links.unionByName(more)
+        if last:
+            break
+        members = stage(members.join(hubs, ["key", "node"], "left_anti"), "near-buckets")
+    rows = signed.join(nodes.select("set_id", "node"), "set_id", "left").select("id", "tie", "n_shingles", "node")
+    return rows, links
 
-    stars = stage(members.where("node <> pivot").select("pivot", "node").distinct(), "near-pairs")
-    links = stage_small(verify(stars, nodes, source), "near-links")
-    roots = components(links)
 
-    # what the first comparison left open
-    rooted = members.join(roots, "node", "left").select("key", "node", "pivot", F.coalesce("root", "node").alias("root"))
+def _open(members: DataFrame, roots: DataFrame, nodes: DataFrame) -> tuple[DataFrame, int, int]:
+    """Members of buckets whose members are in different components, with the bucket's
+    largest component; how many, and at most how many pairs are to be compared."""
+    rooted = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     per_root = rooted.groupBy("key", "root").agg(F.count("*").alias("n"))
-    largest = per_root.groupBy("key").agg(F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("roots"))
-    largest = largest.where("roots > 1").select("key", F.col("most.root").alias("largest"))
-    open_ = rooted.join(largest, "key").join(nodes.select("node", "n", "bitmap"), "node").where("node <> pivot")
+    largest = per_root.groupBy("key").agg(
+        F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("here"), F.count("*").alias("roots")
+    )
+    largest = largest.where("roots > 1").select("key", F.col("most.root").alias("largest"), (F.col("here") - F.col("most.n")).alias("outside"))
+    sets = nodes.select("node", "n", "bitmap", "bands")
+    open_ = stage(rooted.join(largest, "key").join(sets, "node"), "near-open")
+    sums = open_.agg(F.count("*").alias("rows"), F.sum("outside").alias("most")).first()
+    return open_, sums["rows"], sums["most"] or 0
+
+
+def _around(open_: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Each bucket's hub with its members of other components."""
+    left = open_.join(hubs, ["key", "node"]).alias("l")
+    on = (F.col("l.key") == F.col("r.key")) & (F.col("l.root") != F.col("r.root")) & _may_be_similar()
+    return left.join(open_.alias("r"), on).select(F.col("l.node").alias("pivot"), F.col("r.node").alias("node")).distinct()
+
+
+def _rest(open_: DataFrame) -> DataFrame:
+    """Members outside their bucket's largest component with those of other components;
+    a pair that meets in several buckets comes from one of them."""
     left, right = open_.where("root <> largest").alias("l"), open_.alias("r")
-    # both outside the largest: one direction will do
     once = (F.col("r.root") == F.col("r.largest")) | (F.col("l.root") < F.col("r.root"))
-    on = (F.col("l.key") == F.col("r.key")) & (F.col("l.root") != F.col("r.root")) & once & _may_be_similar()
-    rest = left.join(right, on).select(F.col("l.node").alias("pivot"), F.col("r.node").alias("node")).distinct()
-    rest = stage(rest, "near-rest")
-    more = stage_small(verify(rest, nodes, source), "near-links")
-    rows = signed.join(nodes.select("set_id", "node"), "set_id", "left").select("id", "tie", "n_shingles", "node")
-    return rows, links.unionByName(more)
+    here = F.array_min(F.array_intersect("l.bands", "r.bands")) == F.col("l.key")
+    on = (F.col("l.key") == F.col("r.key")) & (F.col("l.root") != F.col("r.root")) & once & _may_be_similar() & here
+    return left.join(right, on).select(F.col("l.node").alias("pivot"), F.col("r.node").alias("node"))
 
 
-def verify(pairs: DataFrame, nodes: DataFrame, source: DataFrame) -> DataFrame:
-    """Links among staged ``pairs (pivot, node)``: those whose full sets are similar."""
+def _texts(pairs: DataFrame, nodes: DataFrame, source: DataFrame) -> DataFrame:
+    """``(node, text)`` of the nodes in ``pairs``, the only texts that are moved."""
     needed = pairs.select("node").unionByName(pairs.select(F.col("pivot").alias("node"))).distinct()
     wanted = needed.join(nodes.select("node", "row"), "node").select("node", F.col("row.id").alias("of"), F.col("row.tie").alias("of_tie"))
     same = F.col("id").eqNullSafe(F.col("of")) & (F.col("tie") == F.col("of_tie"))
-    texts = source.join(wanted, same).select("node", "text").dropDuplicates(["node"])
-    return compare_pairs(pairs, stage(texts, "near-texts"), _sets, _similar, "a bigint, b bigint")
+    return source.join(wanted, same).select("node", "text").dropDuplicates(["node"])
+
+
+def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links among ``pairs (pivot, node)``: those whose full sets are similar."""
+    return compare_pairs(pairs, texts, _sets, _similar, "a bigint, b bigint")
 
 
 def dedup_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
