@@ -82,15 +82,22 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """``encode`` gives ids as unsigned integers of ``width`` bytes, 2 where all fit."""
+    """``encode`` gives ids as unsigned integers of ``width`` bytes, 2 where all fit. With
+    ``special`` the string of an added token in a text is that token, as the library
+    has it by default; without, it is ordinary text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not special
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
         spec = json.loads(self.tokenizer.to_str())
-        self.cuts = can_cut(spec)
+        # special tokens are ordinary text without ``special``, other added tokens never are
+        added = [t for t in spec["added_tokens"] if special or not t["special"]]
+        plain = not any(t[name] for t in added for name in ("normalized", "lstrip", "rstrip", "single_word"))
+        self.cuts = can_cut(spec) and plain
+        names = sorted((t["content"].encode() for t in added if t["content"]), key=len, reverse=True)
+        self.added = re.compile(b"|".join(map(re.escape, names))) if names else None
         self.folds = bool(spec.get("normalizer"))
         self.model = Tokenizer(self.tokenizer.model)  # what is left of a word without its preparation
         self.memo: dict[str, bytes] = {}
@@ -116,7 +123,14 @@ class Encoder:
         raw = texts.buffers()[2]
         data = np.frombuffer(raw, np.uint8)[first:last] if last > first else np.empty(0, np.uint8)
         starts = (offsets - first).astype(np.int64)
-        begins = cuts(data, starts[:-1]) if self.cuts and data.size else np.unique(starts[:-1][starts[:-1] < data.size])
+        if self.cuts and data.size:
+            tokens = self._tokens(data, starts)
+            begins = cuts(data, np.concatenate([starts[:-1], *tokens]))
+            # an added token stays whole
+            last_token = np.searchsorted(tokens[0], begins, side="left") - 1
+            begins = begins[(last_token < 0) | (begins >= np.append(tokens[1], 0)[last_token])]
+        else:
+            begins = np.unique(starts[:-1][starts[:-1] < data.size])
         edges = np.append(begins, data.size).astype(np.int32)
         parts = pa.StringArray.from_buffers(len(begins), pa.py_buffer(edges), pa.py_buffer(data))
         found = parts.dictionary_encode()
@@ -131,6 +145,17 @@ class Encoder:
         closed = of_text + np.arange(1, n + 1)
         return flat[take], np.concatenate([[0], ends[closed - 1]]).astype(np.int64)
 
+    def _tokens(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where strings of added tokens begin and end: the library splits a text there
+        before anything else, the leftmost and longest first."""
+        found: list[tuple[int, int]] = []
+        raw = data.tobytes() if self.added else b""
+        if self.added and self.added.search(raw):
+            for a, b in zip(starts.tolist(), starts[1:].tolist()):
+                found += [m.span() for m in self.added.finditer(raw, a, b)]
+        spans = np.array(found, np.int64).reshape(-1, 2)
+        return spans[:, 0], spans[:, 1]
+
     def _known(self, parts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the distinct parts and of the end, and where each one's are."""
         memo = self.memo
@@ -149,7 +174,8 @@ class Encoder:
         or normalising but lower case, so it goes to the library's model as it is."""
         words, others = [], []
         for part in parts:
-            (words if self.cuts and _WORD.fullmatch(part) else others).append(part)
+            word = self.cuts and _WORD.fullmatch(part) and not (self.added and self.added.search(part.encode()))
+            (words if word else others).append(part)
         if self.folds:
             spelled = [w.strip().lower() for w in words]
         else:
@@ -197,7 +223,7 @@ def encoder(path: str) -> Encoder:
     kept = sys.modules.setdefault("_corploom_encoders", types.ModuleType("_corploom_encoders")).__dict__
     if path not in kept:
         pa.set_memory_pool(pa.system_memory_pool())
-        kept[path] = Encoder(path)
+        kept[path] = Encoder(path, special=True)
     return kept[path]
 
 

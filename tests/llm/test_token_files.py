@@ -48,6 +48,33 @@ def test_parts_give_the_ids_of_whole_texts(path):
     assert [ids[a:b].tolist() for a, b in zip(edges, edges[1:])] == [whole(t) + [2] for t in texts]
 
 
+@pytest.mark.parametrize("path", (BYTES, WORDS))
+def test_added_tokens_in_a_text_are_those_tokens(path):
+    import corploom.llm.encode as module
+
+    codec, library = module.encoder(path), Tokenizer.from_file(path)
+    assert codec.cuts
+    odd = ["<|startoftext|>", "<|endoftext|", ">", "<", "<|ENDOFTEXT|>", "|>", "oftext"]
+
+    @settings(max_examples=100, deadline=None)
+    @draw(st.lists(st.lists(st.sampled_from(PARTS + 6 * ["<|endoftext|>"] + odd), max_size=12).map("".join), min_size=1, max_size=20))
+    def check(texts):
+        ids, edges = codec.encode(pa.array(texts), 2)
+        want = [library.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+        assert [ids[a:b].tolist() for a, b in zip(edges, edges[1:])] == want
+
+    check()
+    ids, _ = codec.encode(pa.array(["a <|endoftext|> b"]), 2)
+    assert {BYTES: 50256, WORDS: 49407}[path] in ids.tolist()
+
+
+def test_added_tokens_in_the_store(spark):
+    root, text = scratch_path(spark, "store"), "a <|endoftext|> b"
+    write_tokens(spark.createDataFrame([(1, text), (2, "next")], "doc_id bigint, text string"), root, BYTES, end_id=2)
+    rows = {r.doc_id: r for r in read_tokens(spark.createDataFrame([(1,), (2,)], "doc_id bigint"), root).collect()}
+    assert np.frombuffer(rows[1].ids, "<u4").tolist() == [64, 220, 50256, 275, 2] and rows[2].start == 5
+
+
 def test_a_full_memo_changes_nothing(monkeypatch):
     import corploom.llm.encode as module
 
