@@ -5,7 +5,10 @@ Unicode escapes and compatibility letters, base64, and compressed data inside
 base64) are unwrapped, and each layer is scanned and unwrapped in turn until no
 new layer turns up. A layer whose content was seen at the same place ends the
 branch, so self-reproducing data cannot loop. Findings in a layer are mapped
-through all layers above to code points of the document.
+through all layers above to code points of the document. Base64 is read
+as text and, where it may be compressed, unpacked as well; bytes that are
+not UTF-8 do not hide the rest. A reading without findings of which under three quarters
+are letters or signs is not counted as a layer.
 
 Null text counts as empty and has no findings; each row is scanned by itself, so
 repeated rows give repeated results; columns other than the two named are not
@@ -53,6 +56,11 @@ _WIDE = re.compile("[\uff01-\uff5e\U0001d400-\U0001d7ff]")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _WRAPPED = re.compile(r"(?:[A-Za-z0-9+/]{60,80}\r?\n)+[A-Za-z0-9+/]{2,80}={0,2}")
 _URL_SAFE = str.maketrans("-_", "+/")
+# the two bytes a zlib stream begins with: method 8, a window of up to 32 KB, a check, no dictionary
+_ZLIB = [bytes((c, f)) for c in range(0x08, 0x80, 0x10) for f in range(256) if (c << 8 | f) % 31 == 0 and not f & 32]
+_PACKED = re.compile(
+    rb"(?=\x1f\x8b|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|" + b"|".join(map(re.escape, _ZLIB)) + rb")", re.S
+)
 
 Up = Callable[[int, int], tuple[int, int]]
 
@@ -117,77 +125,66 @@ def _unescape(run: str) -> str | None:
         return None
 
 
-def _unpack(data: bytes) -> Iterator[bytes] | None:
-    """Chunks of what compressed ``data`` unpacks to; None if it is not compressed."""
-    if data[:2] == b"\x1f\x8b" or len(data) > 2 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0:
-        return _steps(lambda: zlib.decompressobj(47), data)
-    if data[:3] == b"BZh":
-        return _steps(bz2.BZ2Decompressor, data)
-    if data[:6] == b"\xfd7zXZ\x00":
-        return _steps(lzma.LZMADecompressor, data)
-    if data[:4] == b"\x28\xb5\x2f\xfd":
-        return _steps(lambda: zstandard.ZstdDecompressor().decompressobj(), data)
-    return None
+def _unpacker(head: bytes) -> Callable | None:
+    """What makes an unpacker for data that begins with ``head``; None if it is not compressed."""
+    if head[:4] == b"\x28\xb5\x2f\xfd":
+        return lambda: zstandard.ZstdDecompressor().decompressobj()
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor
+    if head[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor
+    return (lambda: zlib.decompressobj(47)) if _PACKED.match(head) else None
 
 
-def _steps(make: Callable, data: bytes) -> Iterator[bytes]:
+def _unpacked(make: Callable, chunks: Iterator[bytes]) -> Iterator[bytes]:
     """Unpacks little by little, member after member; damaged data ends it."""
-    while data:
-        unpacker = make()
-        try:
-            for at in range(0, len(data), 1024):
-                if out := unpacker.decompress(data[at : at + 1024]):
+    unpacker = None
+    for chunk in chunks:
+        for at in range(0, len(chunk), 1024):
+            part = chunk[at : at + 1024]
+            while len(part):
+                unpacker = unpacker or make()
+                try:
+                    out = unpacker.decompress(part)
+                except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError):
+                    return
+                if out:
                     yield out
-                if getattr(unpacker, "eof", False):
-                    data = unpacker.unused_data + data[at + 1024 :]
+                if not getattr(unpacker, "eof", False):
                     break
-            else:
-                return
-        except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError):
-            return
+                part, unpacker = unpacker.unused_data, None
 
 
-def _windows(chunks: Iterator[bytes]) -> Iterator[str]:
-    """Unpacked text in overlapping windows; compressed again, it is unpacked on."""
-    head = b""
-    for chunk in chunks:
-        head += chunk
-        if len(head) >= 8:
-            break
-    if not head:
-        return
-
-    def rest() -> Iterator[bytes]:
-        yield head
-        yield from chunks
-
-    if (inner := _unpack(head)) is not None:
-        inner.close()
-        whole = b"".join(rest())
-        yield from _windows(_unpack(whole))
-        return
+def _windows(source: Callable[[], Iterator[bytes]], seen: frozenset = frozenset()) -> Iterator[str]:
+    """Unpacked text in overlapping windows; what may be compressed again is read as text
+    and then unpacked on, from ``source`` anew, unless it is the same as a layer above."""
+    head, digest = b"", hashlib.md5()
     decoder, held = codecs.getincrementaldecoder("utf-8")("replace"), ""
-    for chunk in rest():
+    for chunk in source():
+        head += chunk[: 8 - len(head)]
+        digest.update(chunk)
         held += decoder.decode(chunk)
         while len(held) > WINDOW:
             yield held[:WINDOW]
             held = held[WINDOW - OVERLAP :]
     yield held + decoder.decode(b"", True)
+    make, mark = _unpacker(head), digest.digest()
+    if make is not None and mark not in seen:
+        yield from _windows(lambda: _unpacked(make, source()), seen | {mark})
 
 
-def _from_base64(run: str) -> bytes | None:
+def _from_base64(run: str) -> Iterator[tuple[int, bytes]]:
+    """What ``run`` gives, and from which letter on."""
     run = run.rstrip("=").translate(_URL_SAFE)
-    if len(run) % 4 == 1:
-        return None
-    return base64.b64decode(run + "=" * (-len(run) % 4))
+    for offset in range(1):
+        body = run[offset : len(run) - ((len(run) - offset) % 4 == 1)]
+        yield offset, base64.b64decode(body + "=" * (-len(body) % 4))
 
 
-def _readable(data: bytes) -> str | None:
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text.translate({9: 32, 10: 32, 13: 32}).isprintable() else None
+def _reads(text: str) -> bool:
+    """Whether most of a layer are letters or signs, so that it is one and not chance."""
+    good = sum(map(str.isprintable, text[:WINDOW])) + sum(map(text[:WINDOW].count, "\t\n\r")) - text[:WINDOW].count("\ufffd")
+    return 4 * good >= 3 * len(text[:WINDOW])
 
 
 def _inside(start: int, end: int, text: str) -> Up:
@@ -195,11 +192,25 @@ def _inside(start: int, end: int, text: str) -> Up:
     if text.isascii():
         return lambda s, e: (start + s * 4 // 3, min(end, start - (-e * 4 // 3)))
     return lambda s, e: (
-        start + len(text[:s].encode()) * 4 // 3,
-        min(end, start - (-len(text[:e].encode()) * 4 // 3)),
+        start + len(text[:s].encode("utf-8", "surrogateescape")) * 4 // 3,
+        min(end, start - (-len(text[:e].encode("utf-8", "surrogateescape")) * 4 // 3)),
     )
 
 
+def _in_base64(run: str, start: int, end: int, straight: bool) -> Iterator[tuple[str, Up]]:
+    """Every reading of a run of base64: as text, whatever bytes are between, and
+    unpacked from each place where compressed data may begin."""
+    for offset, data in _from_base64(run):
+        inner = data.decode("utf-8", "surrogateescape")  # one code point for each odd byte
+        yield inner, _inside(start + offset, end, inner) if straight else lambda s, e: (start, end)
+        for m in _PACKED.finditer(data):
+            at = start + offset + m.start() * 4 // 3 if straight else start
+            packed = memoryview(data)[m.start() :]
+            make = _unpacker(bytes(packed[:8]))
+            for window in _windows(lambda: _unpacked(make, iter((packed,)))):
+                yield window, lambda s, e, at=at: (at, end)
+
+
 def layers(text: str) -> Iterator[tuple[str, Up]]:
     """The layers one step inside ``text``, each with the way back to it."""
     if "%" in text and (runs := [(m.start(), m.end(), _unpercent(m[0])) for m in _PERCENT.finditer(text)]):
@@ -215,15 +226,7 @@ def layers(text: str) -> Iterator[tuple[str, Up]]:
     for pattern, straight in ((_BASE64, True), (_WRAPPED, False)):
         for m in pattern.finditer(text):
             run = m[0] if straight else re.sub(r"\s", "", m[0])
-            data = _from_base64(run)
-            if data is None:
-                continue
-            whole: Up = lambda s, e, a=m.start(), b=m.end(): (a, b)
-            if (chunks := _unpack(data)) is not None:
-                for window in _windows(chunks):
-                    yield window, whole
-            elif (inner := _readable(data)) is not None:
-                yield inner, _inside(m.start(), m.end(), inner) if straight else whole
+            yield from _in_base64(run, m.start(), m.end(), straight)
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int]:
@@ -243,11 +246,12 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
             if mark in seen:
                 continue
             seen.add(mark)
-            depth += 1
             root: Up = lambda s, e, up=up, step=step: up(*step(s, e))
-            for start, kind, end in find(inner):
+            found = find(inner)
+            for start, kind, end in found:
                 a, b = root(start, end)
                 spans.add((a, kind, b))
+            depth += bool(found) or _reads(inner)
             work.append((inner, root))
     return base, sorted(spans), depth
 

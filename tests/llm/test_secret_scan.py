@@ -97,6 +97,31 @@ def test_spans_map_back_exactly():
     assert span == (2 + at * 4 // 3, 0, 2 + -(-to * 4 // 3))
 
 
+ODD = ["\ufeff", "\u00a0", "\u200d", "\x1b[0m", "\x00"]
+
+
+@pytest.mark.parametrize("odd", [c.encode() for c in ODD] + [b"\xe9", b"\xff\xfe", b"x ", b"8n", b"hC", b"(S", b"BZh9"])
+@pytest.mark.parametrize("zipped", (False, True))
+def test_odd_bytes_do_not_hide_a_layer(odd, zipped):
+    data = odd + b" see password=hunter22 now " + odd + b" " + b64(SECRET.encode()).encode()
+    text = f"é {b64(gzip.compress(data) if zipped else data)} z"
+    _, spans, depth = scan(text)
+    assert depth >= 2
+    if zipped:
+        assert {(2, 0, len(text) - 2)} == set(spans)
+    else:
+        at = data.index(b"password")
+        assert (2 + at * 4 // 3, 0, 2 + -(-(at + 17) * 4 // 3)) in spans and len(spans) == 2
+
+
+def test_text_that_looks_compressed_inside_compressed_data():
+    for head in (b"x ", b"hC", b"BZh", b"BZh9 "):
+        text = b64(gzip.compress(head + SECRET.encode()))
+        assert [k for _, k, _ in scan(text)[1]] == [0]
+    twice = b64(gzip.compress(b"") + gzip.compress(zlib.compress(SECRET.encode())) + b"tail")
+    assert {k for _, k, _ in scan(twice)[1]} == {0}
+
+
 def test_a_text_that_unwraps_to_itself_ends():
     assert scan("%25" * 50)[2] < 50
     text = "%2525252525"
