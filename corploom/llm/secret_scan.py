@@ -5,8 +5,8 @@ Unicode escapes and compatibility letters, base64, and compressed data inside
 base64) are unwrapped, and each layer is scanned and unwrapped in turn until no
 new layer turns up. A layer whose content was seen at the same place ends the
 branch, so self-reproducing data cannot loop. Findings in a layer are mapped
-through all layers above to code points of the document. Base64 is read
-as text and, where it may be compressed, unpacked as well; bytes that are
+through all layers above to code points of the document. Base64 is read from each of four
+letters on, as text and, where it may be compressed, unpacked as well; bytes that are
 not UTF-8 do not hide the rest. A reading without findings of which under three quarters
 are letters or signs is not counted as a layer.
 
@@ -174,9 +174,10 @@ def _windows(source: Callable[[], Iterator[bytes]], seen: frozenset = frozenset(
 
 
 def _from_base64(run: str) -> Iterator[tuple[int, bytes]]:
-    """What ``run`` gives, and from which letter on."""
+    """What ``run`` gives from each of its first four letters on: base64 may follow
+    letters, slashes, dashes and underscores, and reads in one of the four."""
     run = run.rstrip("=").translate(_URL_SAFE)
-    for offset in range(1):
+    for offset in range(4):
         body = run[offset : len(run) - ((len(run) - offset) % 4 == 1)]
         yield offset, base64.b64decode(body + "=" * (-len(body) % 4))
 

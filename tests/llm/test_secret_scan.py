@@ -1,4 +1,5 @@
 import base64
+import bz2
 import gzip
 import hashlib
 import re
@@ -122,6 +123,25 @@ def test_text_that_looks_compressed_inside_compressed_data():
     assert {k for _, k, _ in scan(twice)[1]} == {0}
 
 
+@pytest.mark.parametrize("wrap", (bytes, gzip.compress, zlib.compress, bz2.compress, lambda s: zlib.compress(s, 1)))
+@pytest.mark.parametrize(
+    "prefix", ("https://host/path/", "key-", "id_", "a/", "ab/", "abc/", "/", "k", "ke", "key", "x-y_z/a-", "0123456789abcdefg")
+)
+def test_base64_after_other_letters_of_it(prefix, wrap):
+    inner = b64(wrap(f"see {SECRET} now".encode())).rstrip("=")
+    text = f"é {prefix}{inner}. {prefix}{inner.replace('/', '_').replace('+', '-')}/more-of_it ."
+    _, spans, _ = scan(text)
+    first = 2 + len(prefix)
+    second = first + len(inner) + 2 + len(prefix)
+    assert any(k == 0 and first <= s and e <= first + len(inner) for s, k, e in spans)
+    assert any(k == 0 and second <= s and e <= len(text) - 2 for s, k, e in spans)
+
+
+def test_layers_after_other_letters_are_unwrapped_on():
+    text = f"id_{b64(f'key-{b64(SECRET.encode())}'.encode())}"
+    assert 0 in {k for _, k, _ in scan(text)[1]}
+
+
 def test_a_text_that_unwraps_to_itself_ends():
     assert scan("%25" * 50)[2] < 50
     text = "%2525252525"
