@@ -10,7 +10,7 @@ from tests.test_oracle import TYPES, duck, keyed, same  # noqa: F401
 
 def test_one_query_per_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(driver.queries())
 
 
