@@ -113,6 +113,18 @@ def text_folder(spark, sf, out):
     ).write.partitionBy("doc").text(out)
 
 
+DOCS_PER_FILE = 400
+
+
+@_once
+def large_text(spark, sf, out):
+    """A file of each ``DOCS_PER_FILE`` identifiers, a document a line or more."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    part = F.lpad(F.expr(f"doc_id div {DOCS_PER_FILE}").cast("string"), 12, "0").alias("part")
+    rows = docs.select("doc_id", "text", part).repartition("part").sortWithinPartitions("part", "doc_id")
+    rows.select("part", "text").write.partitionBy("part").text(out)
+
+
 @_once
 def named_dataset(spark, sf, out):
     docs = table(spark, sf, "documents")

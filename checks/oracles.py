@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.fixtures import SMALL_MERGES, small_merge_ids
+from checks.fixtures import DOCS_PER_FILE, SMALL_MERGES, small_merge_ids
 from checks.queries import FINETUNE, PAIR_LEN, PRETRAIN, SEQ_LEN
 from corploom.functions.arrays import IGNORE_LABEL
 from corploom.functions.tokenizers import BYTES_EOS, DEFAULT_EOS_TEXT, WORD_VOCAB
@@ -32,6 +32,8 @@ def text_of(ids: str) -> str:
 EOS_TEXT_ID = word_id(f"'{DEFAULT_EOS_TEXT}'")
 WORDS = f"SELECT doc_id, {words('text')} AS ids FROM documents"
 WORDS_EOS = f"SELECT doc_id, list_append({words('text')}, {WORD_VOCAB}) AS ids FROM documents"
+FILES = f"""SELECT doc_id // {DOCS_PER_FILE} AS doc_id, list_append(flatten(list({words('text')} ORDER BY doc_id)), {WORD_VOCAB}) AS ids
+FROM documents GROUP BY doc_id // {DOCS_PER_FILE}"""
 WORDS_EOS_TEXT = f"SELECT doc_id, list_append({words('text')}, {EOS_TEXT_ID}) AS ids FROM documents"
 BYTES = f"SELECT doc_id, {byte_ids('text')} AS ids FROM documents"
 BYTES_EOS_SQL = f"SELECT doc_id, list_append({byte_ids('text')}, {BYTES_EOS}) AS ids FROM documents"
@@ -311,6 +313,13 @@ ORACLES = {
     "token_offsets": f"""SELECT doc_id, doc_ord, tok_offset, n_tokens, n_docs
         FROM ({offsets(WORDS_EOS)}) o""",
     "pack_samples": samples_out(SAMPLES),
+    "read_by_index": samples_out(SAMPLES),
+    "sample_index": f"""WITH o AS ({offsets(WORDS_EOS)}),
+      s AS (SELECT unnest(range((SELECT CAST(sum(n_tokens) AS BIGINT) // {SEQ_LEN} FROM o))) AS sample_id)
+    SELECT sample_id, a.doc_ord AS first_doc, sample_id * {SEQ_LEN} - a.tok_offset AS first_offset,
+      b.doc_ord AS last_doc, (sample_id + 1) * {SEQ_LEN} - b.tok_offset AS last_end
+    FROM s JOIN o a ON sample_id * {SEQ_LEN} >= a.tok_offset AND sample_id * {SEQ_LEN} < a.tok_offset + a.n_tokens
+    JOIN o b ON (sample_id + 1) * {SEQ_LEN} > b.tok_offset AND (sample_id + 1) * {SEQ_LEN} <= b.tok_offset + b.n_tokens""",
     "pack_keep_tail": samples_out(packed(WORDS_EOS_TEXT, 1000, keep_tail=True)),
     "pack_bytes": f"""SELECT sample_id, CAST(len(ids) AS INTEGER) AS n_tokens,
         CAST(list_sum(list_transform(ids, lambda x, i: CAST(x AS BIGINT) * i)) AS BIGINT) AS weighed_sum,
@@ -369,6 +378,7 @@ ORACLES = {
     "stop_following": "SELECT count(*) AS n_lines, false AS active FROM events",
     "jsonl_to_shards": in_splits(samples_out(packed(WORDS_EOS_TEXT))),
     "text_to_shards": samples_out(SAMPLES, ", 'train' AS split"),
+    "text_blocks_to_shards": samples_out(packed(FILES), ", 'train' AS split"),
     "dataset_to_shards": by_split("split"),
     "instructions_to_pairs": f"SELECT *, 'train' AS split FROM ({PAIRS}) p",
     "jsonl_to_indexed": f"""SELECT doc_ord, tok_offset, n_tokens, {text_of('ids')} AS tokens,

@@ -16,6 +16,7 @@ from corploom.functions import arrays
 from corploom.functions.durations import duration_batches_col
 from corploom.functions.tokenizers import register_tokenizer, tokenize, tokenizer
 from corploom.operators import batching, instructions, ordering, packing, splits
+from corploom.operators import sample_index as samples_by_index
 from corploom.plans import corpus, finetune, training
 from corploom.plans.recipe import Recipe
 from corploom.session import scratch_path
@@ -192,6 +193,21 @@ def write_indexed(spark, sf):
     return table.select("doc_ord", "tok_offset", "n_tokens", text_of("tokens").alias("tokens"))
 
 
+def indexed_of(spark, sf) -> DataFrame:
+    tokens = arrays.append_eod(tokenize(docs_of(spark, sf)), "words")
+    return writers.write_indexed(ordering.with_offsets(tokens, "doc_id"), scratch_path(spark, "indexed"))
+
+
+def sample_index(spark, sf):
+    return samples_by_index.sample_index(indexed_of(spark, sf), SEQ_LEN)
+
+
+def read_by_index(spark, sf):
+    """Every sample through the index."""
+    indexed = indexed_of(spark, sf)
+    return sample_text(samples_by_index.read_samples(indexed, samples_by_index.sample_index(indexed, SEQ_LEN), SEQ_LEN))
+
+
 def pairs_of(spark, sf) -> DataFrame:
     rows = instructions.instruction_rows(fx.table(spark, sf, "conversations"))
     return instructions.format_instructions(rows.withColumn("sample_id", fx.pair_key()))
@@ -554,6 +570,13 @@ def text_to_shards(spark, sf):
     return sample_text(readers.scan_shards(spark, out, "train"), "split")
 
 
+def text_blocks_to_shards(spark, sf):
+    """Files of many documents, each cut into many blocks."""
+    out = scratch_path(spark, "text-blocks-job")
+    corpus.text_to_shards(spark, fx.large_text(spark, sf), out, SEQ_LEN, block=1 << 16)
+    return sample_text(readers.scan_shards(spark, out, "train"), "split")
+
+
 def dataset_to_shards(spark, sf):
     out = scratch_path(spark, "dataset-job")
     corpus.dataset_to_shards(
@@ -625,6 +648,7 @@ QUERIES = {
         scan_jsonl, scan_jsonl_bad_lines, scan_order, scan_text_folder, scan_dataset,
         scan_instructions, scan_shards, scan_logs, follow_logs, preview,
         write_shards, write_split_folders, split_manifests, ensure_namespace, write_indexed, write_pairs, manifest,
+        sample_index, read_by_index,
         append_eos_text, append_eos_id, append_eod, raw_text_corpus,
         format_instructions, preprocessor_by_path, preprocessor_by_row,
         decoder_only, truncate, pad_full, pad_longest, duration_batches,
@@ -634,7 +658,7 @@ QUERIES = {
         eval_subset, evaluation_plan_devices, eval_every_epoch, plan_stats, run_totals,
         parse_metrics, rolling_speed, lr_series, memory_peak, eta, console_interval,
         follow_metrics, follow_rolling, stop_following,
-        jsonl_to_shards, text_to_shards, dataset_to_shards, instructions_to_pairs,
+        jsonl_to_shards, text_to_shards, text_blocks_to_shards, dataset_to_shards, instructions_to_pairs,
         jsonl_to_indexed, training_plan, finetune_plan, run_metrics,
         jsonl_no_id_to_shards, jsonl_no_id_to_indexed, jsonl_to_raw_shards,
         finetune_from_shards, finetune_trimmed, finetune_evaluation_plan,

@@ -9,10 +9,12 @@ part of a batch once rather than every word of every row.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import ClassVar
 
 import numpy as np
 import pyarrow as pa
@@ -73,6 +75,7 @@ class WordTokenizer:
 
     vocab: int = WORD_VOCAB
     name: str = "words"
+    cuts: ClassVar[str] = "blank"
 
     @property
     def eos_id(self) -> int:
@@ -101,6 +104,7 @@ class ByteTokenizer:
 
     name: str = "bytes"
     eos_id: int = BYTES_EOS
+    cuts: ClassVar[str] = "char"
 
     def parts(self, text: Column) -> Column:
         return F.encode(text, "UTF-8")
@@ -127,6 +131,7 @@ class BpeTokenizer:
     merges_text: str
     eos_token: str = "<|endoftext|>"
     name: str = "bpe"
+    cuts: ClassVar[str] = "blank"
 
     @classmethod
     def from_files(cls, vocab: str, merges: str, **kwargs) -> "BpeTokenizer":
@@ -154,22 +159,37 @@ class BpeTokenizer:
 
 
 def merged(part: str, ranks: dict[tuple[str, str], int]) -> list[str]:
-    """The symbols of a part after all merges, the earliest merge first."""
-    symbols, last = list(part), len(ranks)
-    while len(symbols) > 1:
-        pair = min(zip(symbols, symbols[1:]), key=lambda p: ranks.get(p, last))
-        if pair not in ranks:
-            break
-        out, i = [], 0
-        while i < len(symbols):
-            if tuple(symbols[i : i + 2]) == pair:
-                out.append(pair[0] + pair[1])
-                i += 2
-            else:
-                out.append(symbols[i])
-                i += 1
-        symbols = out
-    return symbols
+    """The symbols of a part after all merges, the earliest merge first, from left to right.
+
+    Symbols are linked and pairs wait in a heap by rank and place, so a part of n
+    letters takes n log n steps. Pairs that a merge makes wait until its rank is done.
+    """
+    symbols: list[str | None] = list(part)
+    after = list(range(1, len(symbols) + 1))
+    before = list(range(-1, len(symbols) - 1))
+    heap = [(ranks[pair], i) for i, pair in enumerate(zip(symbols, symbols[1:])) if pair in ranks]
+    heapq.heapify(heap)
+
+    def pair_at(i: int) -> tuple | None:
+        return (symbols[i], symbols[after[i]]) if symbols[i] is not None and after[i] < len(symbols) else None
+
+    while heap:
+        rank, places = heap[0][0], []
+        while heap and heap[0][0] == rank:
+            places.append(heapq.heappop(heap)[1])
+        for i in places:  # in order; what an earlier merge has changed is skipped
+            pair = pair_at(i)
+            if pair is None or ranks.get(pair) != rank:
+                continue
+            gone = after[i]
+            symbols[i], symbols[gone] = pair[0] + pair[1], None
+            after[i] = after[gone]
+            if after[i] < len(symbols):
+                before[after[i]] = i
+            for j in (before[i], i):
+                if j >= 0 and (fresh := ranks.get(pair_at(j))) is not None:
+                    heapq.heappush(heap, (fresh, j))
+    return [s for s in symbols if s is not None]
 
 
 def byte_symbols() -> list[str]:

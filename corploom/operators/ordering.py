@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corploom.functions.numbers import int_div
 from corploom.session import stage
 
 MAX_SLOTS = 1 << 17
@@ -173,8 +174,9 @@ def in_scan_order(tokens: DataFrame, label: str = "scanned") -> DataFrame:
     ``tokens`` comes from :func:`corploom.sources.readers.scan_order` without a
     shuffle, so a task holds whole blocks of a file with their rows in order and
     counts along each block. The rows are written once; what comes before a block
-    is a running sum over one row per block, which is broadcast if there are no
-    more of them than slots. Adds ``doc_ord``, ``tok_offset`` and ``n_docs``; rows whose
+    is a running sum over one row per block. These sums are broadcast, ``MAX_SLOTS`` blocks
+    in a row at a time, each to the files it is about, so tokens stay where they
+    are however many blocks there are. Adds ``doc_ord``, ``tok_offset`` and ``n_docs``; rows whose
     ``tokens`` are null are left out and may be read from the written table,
     ``_scanned`` of the result. The caller's job deletes it.
     """
@@ -206,20 +208,26 @@ def in_scan_order(tokens: DataFrame, label: str = "scanned") -> DataFrame:
     block = ["file_path", "file_block_start"]
     here = [F.sum("n_tokens").alias("_toks"), F.count("tokens").alias("_docs")]
     sums = written.groupBy(*block).agg(*here)
-    order = Window.orderBy(*block)
+    order = Window.orderBy(*block)  # one row per block
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(
         *block,
         F.coalesce(F.sum("_toks").over(before), F.lit(0)).alias("_toks"),
         F.coalesce(F.sum("_docs").over(before), F.lit(0)).alias("_docs"),
         F.sum("_docs").over(Window.partitionBy()).alias("n_docs"),
+        int_div(F.row_number().over(order) - 1, MAX_SLOTS).alias("_part"),
     )
-    if written.select(*block).distinct().count() <= MAX_SLOTS:
-        starts = F.broadcast(starts)
+    starts = stage(starts, f"{label}-starts")
+    ends = starts.groupBy("_part").agg(F.min("file_path").alias("low"), F.max("file_path").alias("high")).collect()
+    there, placed_rows = written.where("tokens is not null"), None
+    for part in sorted(ends, key=lambda r: r["_part"]):
+        few = starts.where(F.col("_part") == part["_part"]).drop("_part")
+        near = there.where(F.col("file_path").between(part["low"], part["high"])).join(F.broadcast(few), block)
+        placed_rows = near if placed_rows is None else placed_rows.unionByName(near)
+    if placed_rows is None:
+        placed_rows = there.join(starts.drop("_part"), block)
     placed_rows = (
-        written.where("tokens is not null")
-        .join(starts, block)
-        .withColumn("doc_ord", F.col("_docs") + F.col("_row"))
+        placed_rows.withColumn("doc_ord", F.col("_docs") + F.col("_row"))
         .withColumn("tok_offset", F.col("_toks") + F.col("_before"))
         .drop("_docs", "_row", "_toks", "_before")
     )

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corploom.functions.arrays import append_eos
-from corploom.functions.tokenizers import tokenize, tokens_of
+from corploom.functions.tokenizers import tokenize, tokenizer, tokens_of
 from corploom.operators.ordering import in_scan_order, with_offsets
 from corploom.operators.packing import concat_order, pack, pack_in_order
 from corploom.operators.splits import split_weighted
 from corploom.session import releasing, stage
-from corploom.sources.readers import BAD_RECORD, scan_dataset, scan_jsonl, scan_order, scan_shards, scan_text
+from corploom.sources.readers import BAD_RECORD, scan_dataset, scan_jsonl, scan_order, scan_shards
+from corploom.sources.text_blocks import BLOCK_BYTES, scan_text_blocks
 from corploom.sources.writers import write_indexed, write_shards
 
 
@@ -114,11 +115,16 @@ def text_to_shards(
     seq_len: int,
     tok="words",
     split_names: tuple[str, ...] = ("train",),
+    block: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """Text folder to packed shards, documents in file-path order."""
-    docs = scan_text(spark, folder)
+    """Text folder to packed shards, documents in file-path order, in the order of the scan: large files
+    are read in blocks by many tasks, and no tokens are moved but those at the ends of blocks."""
     with releasing(spark):
-        samples = build_corpus(docs, "file_path", tok, seq_len, use_tokenizer_eos=True)
+        blocks = scan_text_blocks(spark, folder, getattr(tokenizer(tok), "cuts", None), block)
+        tokens = blocks.select("file_path", "file_block_start", "is_last", tokens_of("text", tok).alias("tokens"))
+        ended = append_eos(tokens.withColumn("open", F.col("tokens")), tok, use_tokenizer_eos=True)
+        ended = ended.withColumn("tokens", F.when(F.col("is_last"), F.col("tokens")).otherwise(F.col("open")))
+        samples = pack(in_scan_order(ended.drop("open", "is_last")), seq_len)
         return write_shards(samples, out_root, tok, seq_len, split_names[0], split_names[1:])
 
 
