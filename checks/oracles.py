@@ -375,6 +375,7 @@ ORACLES = {
         FROM (SELECT *, time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '1970-01-01') AS start
               FROM ({METRICS}) m) w GROUP BY run_id, start""",
     "follow_rolling": SPEED,
+    "rolling_in_state": SPEED,
     "stop_following": "SELECT count(*) AS n_lines, false AS active FROM events",
     "jsonl_to_shards": in_splits(samples_out(packed(WORDS_EOS_TEXT))),
     "text_to_shards": samples_out(SAMPLES, ", 'train' AS split"),

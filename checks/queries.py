@@ -21,7 +21,7 @@ from corploom.plans import corpus, finetune, training
 from corploom.plans.recipe import Recipe
 from corploom.session import scratch_path
 from corploom.sources import readers, writers
-from corploom.streaming import follow, metrics
+from corploom.streaming import follow, metrics, rolling_state
 
 SEQ_LEN = 256
 PAIR_LEN = 128
@@ -526,6 +526,14 @@ def follow_rolling(spark, sf):
     return speed_columns(spark.read.parquet(out))
 
 
+def rolling_in_state(spark, sf):
+    """The rates of a followed log that grows by quarters, from the state store."""
+    rows = metrics.metric_rows(readers.follow_logs(spark, fx.growing_log(spark, sf), files_per_trigger=1))
+    out = scratch_path(spark, "rolling-in-state")
+    rolling_state.follow_rolling_state(rows, out, f"{out}-checkpoint", available_now=True).awaitTermination()
+    return speed_columns(rolling_state.read_rolling(spark, out))
+
+
 def stop_following(spark, sf):
     """Stop after the files so far; the sink holds each line once."""
     lines = readers.follow_logs(spark, fx.log_folder(spark, sf)).select("line")
@@ -657,7 +665,7 @@ QUERIES = {
         assign_batches, drop_last, assign_devices, epoch_plan, batch_limited_plan, unshuffled_epochs, plan_markers,
         eval_subset, evaluation_plan_devices, eval_every_epoch, plan_stats, run_totals,
         parse_metrics, rolling_speed, lr_series, memory_peak, eta, console_interval,
-        follow_metrics, follow_rolling, stop_following,
+        follow_metrics, follow_rolling, rolling_in_state, stop_following,
         jsonl_to_shards, text_to_shards, text_blocks_to_shards, dataset_to_shards, instructions_to_pairs,
         jsonl_to_indexed, training_plan, finetune_plan, run_metrics,
         jsonl_no_id_to_shards, jsonl_no_id_to_indexed, jsonl_to_raw_shards,

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corploom.sources import readers
-from corploom.streaming import follow, metrics
+from corploom.streaming import follow, metrics, rolling_state
 
 T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
@@ -200,3 +200,43 @@ def test_last_rows(spark):
     rows = spark.createDataFrame([("a", b) for b in range(50)] + [("b", 3)], "run_id string, batch bigint")
     got = sorted(map(tuple, follow.last_rows(rows, 9, block=8).collect()))
     assert got == [("a", b) for b in range(41, 50)] + [("b", 3)]
+
+
+def follow_state(spark, tmp_path, **more):
+    rows = metrics.metric_rows(readers.follow_logs(spark, str(tmp_path / "logs"), files_per_trigger=1))
+    out = str(tmp_path / "out")
+    rolling_state.follow_rolling_state(rows, out, str(tmp_path / "cp"), available_now=True, **more).awaitTermination()
+    return rolling_state.read_rolling(spark, out)
+
+
+def test_rates_in_the_state_store(spark, tmp_path):
+    """Batches cut by triggers, a restart, a late line, lines without time or tokens, two runs."""
+    lines = [line("r", b, 10 + d, b * 60 + d, device=d) for b in range(30) for d in range(4)]
+    lines += [line("s", b, 5, b) for b in range(0, 40, 3)] + [line("t", b, None if b == 2 else 1, b, ts=None if b == 4 else "2024-01-01T00:00:00.000000Z") for b in range(14)]
+    lines.sort(key=lambda x: json.loads(x)["batch"])
+    for k, (lo, hi) in enumerate(((0, 2), (2, 51), (51, 53), (53, 90))):
+        write(tmp_path / "logs", f"{k}.log", lines[lo:hi])
+    follow_state(spark, tmp_path)
+    write(tmp_path / "logs", "4.log", lines[90:])
+    done = follow_state(spark, tmp_path)
+    table = metrics.rolling_speed(metric_rows(spark, tmp_path / "logs"))
+    names = table.columns
+    key = lambda r: (r.run_id, r.batch)
+    want = sorted(table.collect(), key=key)
+    assert sorted(done.select(*names).collect(), key=key) == want and len(want) == 58
+    write(tmp_path / "logs", "5.log", [line("r", 3, 99, 9999), line("r", 29, 5, 29 * 60 + 9), line("r", 30, 7, 30 * 60)])
+    done = follow_state(spark, tmp_path)
+    tokens = {r.batch: r.tokens for r in done.where("run_id = 'r'").collect()}
+    assert len(tokens) == 31 and tokens[29] == 10 + 11 + 12 + 13 + 5 and tokens[3] == 46
+    late = spark.read.parquet(str(tmp_path / "out")).where("late").collect()
+    assert [(r.batch, r.tokens) for r in late] == [(3, 99)]
+    assert not [p for p in (tmp_path / "out").iterdir() if p.name.startswith("trigger")]
+
+
+def test_runs_expire_from_the_state_store(spark, tmp_path):
+    write(tmp_path / "logs", "0.log", [line("old", b, 10, b) for b in range(5)])
+    for k in range(1, 4):
+        write(tmp_path / "logs", f"{k}.log", [line("new", b, 10, 100_000 * k + b) for b in range(5 * k, 5 * k + 4)])
+    done = follow_state(spark, tmp_path, expire=3600)
+    closed = {(r.run_id, r.batch) for r in done.where("closed").collect()}
+    assert ("old", 4) in closed and done.where("run_id = 'old'").count() == 5
