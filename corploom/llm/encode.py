@@ -8,8 +8,6 @@ each distinct part once for as long as the worker remembers it.
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
 import json
 import re
 import sys
@@ -22,6 +20,8 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from tokenizers import Tokenizer
 
+from corploom.llm.frames import give_back
+
 PARTS_KEPT = 400_000
 LONGEST_KEPT = 64
 BATCH_BYTES = 5 << 20
@@ -210,12 +210,6 @@ def can_cut(spec: dict) -> bool:
     return False
 
 
-def give_back() -> None:
-    """Let the C library return freed memory; a worker stays, with its memo, for long."""
-    with contextlib.suppress(OSError, AttributeError):
-        ctypes.CDLL(None).malloc_trim(0)
-
-
 def encoder(path: str) -> Encoder:
     """The worker's encoder of a file, kept with its memo from task to task. The code of
     this package comes anew with every task, so the encoder is kept in a module of

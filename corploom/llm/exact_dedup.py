@@ -23,8 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corploom.llm.frames import BLANKS, numbered, pick, restored, text_of
-from corploom.session import stage
+from corploom.llm.frames import BLANKS, frugal, numbered, pick, restored, stage_small, text_of
 
 HEAD = 16
 
@@ -112,7 +111,7 @@ def dedup_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     ordered = keyed.repartitionByRange("head", "sha", "id").sortWithinPartitions("head", "sha", "norm", "id")
     kind = keyed.schema["id"].dataType.simpleString()
     columns = f"part int, row bigint, run bigint, id {kind}, sha string, chars bigint, edge string, norm string"
-    runs = stage(ordered.mapInArrow(_runs, columns), "content-sort")
+    runs = stage_small(ordered.mapInArrow(frugal(_runs), columns), "content-sort")
 
     origins = _origins(runs.where("edge is not null"))
     rows = runs.where("edge is null").drop("edge", "norm")

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corploom.llm.components import components
-from corploom.llm.frames import numbered, pick, restored, stage_small, text_of
+from corploom.llm.frames import frugal, numbered, pick, restored, stage_small, text_of
 from corploom.llm.pairwise import compare_pairs
 from corploom.llm.shingles import Words, mix, slices
 from corploom.session import stage
@@ -134,7 +134,7 @@ def link_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     source = source.withColumn("tie", F.xxhash64("text"))
     kind = source.schema["id"].dataType.simpleString()
     columns = f"id {kind}, tie bigint, n_shingles bigint, set_id binary, bands array<bigint>, bitmap array<bigint>"
-    signed = stage_small(source.select("id", "tie", "text").mapInArrow(_signed, columns), "near-signed")
+    signed = stage_small(source.select("id", "tie", "text").mapInArrow(frugal(_signed), columns), "near-signed")
 
     sets = signed.where("set_id is not null")
     # numbered once and written, so the numbers stay

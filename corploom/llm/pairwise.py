@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corploom.llm.frames import frugal
+
 CHUNK = 200
 
 
@@ -47,4 +49,4 @@ def compare_pairs(pairs: DataFrame, texts: DataFrame, prepare: Callable, compare
                 yield from compare(key[0], head, nodes[at:to], prepared[at:to])
                 at = to
 
-    return rows.sortWithinPartitions("pivot", "chunk", "side", "node").mapInArrow(run, schema)
+    return rows.sortWithinPartitions("pivot", "chunk", "side", "node").mapInArrow(frugal(run), schema)

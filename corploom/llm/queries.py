@@ -79,7 +79,11 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_passages(_documents(spark, sf_dir))
+    """A row for each document that holds a passage and one that holds it as well, either way round."""
+    found = repeated_passages(_documents(spark, sf_dir))
+    swapped = {"doc_id": "source_id", "start": "source_start", "end": "source_end"}
+    swapped |= {b: a for a, b in swapped.items()}
+    return found.unionByName(found.select(*[F.col(swapped.get(c, c)).alias(c) for c in found.columns]))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

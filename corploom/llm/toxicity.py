@@ -30,7 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corploom.llm.frames import numbered, pick, restored, text_of, texts
+from corploom.llm.frames import frugal, numbered, pick, restored, text_of, texts
+from corploom.llm.shingles import slices
 from corploom.session import stage
 
 PER_CLASS = 3_000
@@ -95,7 +96,7 @@ def choose_features(rows: DataFrame) -> list[str]:
     a, b = F.col("a"), F.col("b")
     counts = (
         rows.select("text", "toxic")
-        .mapInArrow(emit, "f string, toxic int")
+        .mapInArrow(frugal(emit), "f string, toxic int")
         .groupBy("f")
         .agg(F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b"))
         .where((a >= 2) & (a * clean > 3 * b * toxic))
@@ -136,7 +137,7 @@ def bags(rows: DataFrame, names: list[str]) -> DataFrame:
             )
 
     return rows.select("text", "toxic", "weight").mapInArrow(
-        gather, "toxic int, weight double, n bigint, hits array<array<int>>"
+        frugal(gather), "toxic int, weight double, n bigint, hits array<array<int>>"
     )
 
 
@@ -221,7 +222,7 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
     spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (few for whole in batches for few in slices(whole, at)):
             rows = [sentence_scores(t, model) if model else (len(_sentences(t)), 0.0, []) for t in texts(batch, at)]
             worst = [[{"start": a, "end": b, "score": p} for a, b, p in r[2]] for r in rows]
             yield pa.RecordBatch.from_arrays(
@@ -234,7 +235,7 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
                 [*batch.schema.names, "n_sentences", "score", "offending"],
             )
 
-    return docs.mapInArrow(run, f"{kinds}, {SCORE}")
+    return docs.mapInArrow(frugal(run), f"{kinds}, {SCORE}")
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
