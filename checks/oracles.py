@@ -6,6 +6,7 @@ from checks.fixtures import DOCS_PER_FILE, SMALL_MERGES, small_merge_ids
 from checks.queries import FINETUNE, PAIR_LEN, PRETRAIN, SEQ_LEN
 from corploom.functions.arrays import IGNORE_LABEL
 from corploom.functions.tokenizers import BYTES_EOS, DEFAULT_EOS_TEXT, WORD_VOCAB
+from corploom.operators.feistel import FIRST, MODULUS, ROUNDS, SECOND
 from corploom.operators.instructions import CONTEXT_HEAD, INSTRUCTION_HEAD, RESPONSE_HEAD
 
 BPE_EOS = 256 + len(SMALL_MERGES)
@@ -219,6 +220,24 @@ LOG_COUNTS = f"""SELECT CASE WHEN is_note THEN note ELSE
 FROM ({LINES}) l GROUP BY 1"""
 
 
+FEISTEL = f"""WITH RECURSIVE ids AS (SELECT sample_id FROM ({SAMPLES}) s),
+  size AS (SELECT count(*) AS n, (SELECT min(j) FROM range(1, 31) t(j) WHERE (1::BIGINT << (2 * j)) >= (SELECT count(*) FROM ids)) AS b FROM ids),
+  keys AS (
+    SELECT e AS epoch, list(CAST('0x' || substr(md5('{PRETRAIN.seed}:' || e || ':' || i), 1, 8) AS BIGINT) % {MODULUS} ORDER BY i) AS k
+    FROM range(3) a(e), range({ROUNDS}) c(i) GROUP BY e),
+  walk AS (
+    SELECT k.epoch, i.sample_id, i.sample_id >> s.b AS l, i.sample_id & ((1::BIGINT << s.b) - 1) AS r, 0 AS step
+    FROM ids i, size s, keys k
+    UNION ALL
+    SELECT epoch, sample_id, r, xor(l, xor(y, y >> 13) & ((1::BIGINT << b) - 1)), step + 1
+    FROM (SELECT *, (xor(x, x >> 15) * {SECOND}) % {MODULUS} AS y
+          FROM (SELECT w.*, s.b, (w.r * {FIRST} + k.k[w.step % {ROUNDS} + 1]) % {MODULUS} AS x
+                FROM walk w JOIN keys k USING (epoch), size s
+                WHERE w.step = 0 OR w.step % {ROUNDS} > 0 OR ((w.l << s.b) | w.r) >= s.n) a) c)
+SELECT w.sample_id, CAST(w.epoch AS INTEGER) AS epoch, (w.l << s.b) | w.r AS position
+FROM walk w, size s WHERE w.step > 0 AND w.step % {ROUNDS} = 0 AND ((w.l << s.b) | w.r) < s.n"""
+
+
 def by_split(packed_by: str) -> str:
     """Each split of the English subset packed on its own."""
     one = "SELECT doc_id, list_append({w}, {eos}) AS ids FROM documents WHERE lang = 'en' AND doc_id % 10 {op} 0"
@@ -314,6 +333,9 @@ ORACLES = {
         FROM ({offsets(WORDS_EOS)}) o""",
     "pack_samples": samples_out(SAMPLES),
     "read_by_index": samples_out(SAMPLES),
+    "feistel_epochs": FEISTEL,
+    "content_seals": in_splits(f"""SELECT count(*) AS n_rows, CAST(sum(CAST('0x' || substr(md5(concat_ws(chr(1), len(ids), sample_id,
+      CAST(ids AS VARCHAR))), 1, 15) AS HUGEINT)) AS VARCHAR) AS seal FROM ({SAMPLES}) s"""),
     "sample_index": f"""WITH o AS ({offsets(WORDS_EOS)}),
       s AS (SELECT unnest(range((SELECT CAST(sum(n_tokens) AS BIGINT) // {SEQ_LEN} FROM o))) AS sample_id)
     SELECT sample_id, a.doc_ord AS first_doc, sample_id * {SEQ_LEN} - a.tok_offset AS first_offset,

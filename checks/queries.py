@@ -15,12 +15,12 @@ from checks import fixtures as fx
 from corploom.functions import arrays
 from corploom.functions.durations import duration_batches_col
 from corploom.functions.tokenizers import register_tokenizer, tokenize, tokenizer
-from corploom.operators import batching, instructions, ordering, packing, splits
+from corploom.operators import batching, feistel, instructions, ordering, packing, splits
 from corploom.operators import sample_index as samples_by_index
 from corploom.plans import corpus, finetune, training
 from corploom.plans.recipe import Recipe
 from corploom.session import scratch_path
-from corploom.sources import readers, writers
+from corploom.sources import readers, seals, writers
 from corploom.streaming import follow, metrics, rolling_state
 
 SEQ_LEN = 256
@@ -176,6 +176,16 @@ def split_manifests(spark, sf):
     )
 
 
+def content_seals(spark, sf):
+    """Two splits sealed and checked."""
+    out = scratch_path(spark, "sealed")
+    writers.write_shards(packed(spark, sf), out, "words", SEQ_LEN, SPLITS[0], SPLITS[1:])
+    for split in SPLITS:
+        seals.write_seals(spark, out, split)
+        seals.check_seals(spark, out, split)
+    return seals.total(seals.read_seals(spark, out))
+
+
 def ensure_namespace(spark, sf):
     """A table made in a fresh namespace, read back by name."""
     path = scratch_path(spark, "namespace")
@@ -366,6 +376,12 @@ def shuffle_epochs(spark, sf):
     return ordering.shuffled_rank(docs, "doc_id", seed=17, epochs=3)
 
 
+def feistel_epochs(spark, sf):
+    """Packed samples in a new order each epoch, by their numbers alone."""
+    samples = readers.scan_shards(spark, packed_root(spark, sf), "train").select("sample_id")
+    return feistel.feistel_epochs(samples, "sample_id", samples.count(), PRETRAIN.seed, 3)
+
+
 def ordered_rank(spark, sf):
     lines = fx.table(spark, sf, "events").select("event_id", "user_id")
     return ordering.with_rank(lines, "event_id")
@@ -655,13 +671,13 @@ QUERIES = {
     for f in (
         scan_jsonl, scan_jsonl_bad_lines, scan_order, scan_text_folder, scan_dataset,
         scan_instructions, scan_shards, scan_logs, follow_logs, preview,
-        write_shards, write_split_folders, split_manifests, ensure_namespace, write_indexed, write_pairs, manifest,
+        write_shards, write_split_folders, split_manifests, content_seals, ensure_namespace, write_indexed, write_pairs, manifest,
         sample_index, read_by_index,
         append_eos_text, append_eos_id, append_eod, raw_text_corpus,
         format_instructions, preprocessor_by_path, preprocessor_by_row,
         decoder_only, truncate, pad_full, pad_longest, duration_batches,
         keep_splits, keep_subset, token_offsets, pack_samples, pack_keep_tail, pack_bytes,
-        shuffle_epochs, ordered_rank, rank_in_run, split_weighted, split_copy,
+        shuffle_epochs, feistel_epochs, ordered_rank, rank_in_run, split_weighted, split_copy,
         assign_batches, drop_last, assign_devices, epoch_plan, batch_limited_plan, unshuffled_epochs, plan_markers,
         eval_subset, evaluation_plan_devices, eval_every_epoch, plan_stats, run_totals,
         parse_metrics, rolling_speed, lr_series, memory_peak, eta, console_interval,

@@ -46,6 +46,13 @@ def _written(spark: SparkSession, root: str) -> dict:
     return {r.split: r for r in read_manifest(spark, root).collect()} if system.exists(path) else {}
 
 
+def _writes(spark: SparkSession, root: str) -> set:
+    """Splits and the marks of the writes that made their files, which a write's files share."""
+    mark = F.regexp_extract("_metadata.file_name", r"^part-\d+-([0-9a-f-]{36})", 1).alias("mark")
+    rows = spark.read.parquet(root).select(F.col("split").cast("string").alias("split"), mark).distinct()
+    return {(r.split, r.mark) for r in rows.collect()}
+
+
 def write_shards(
     df: DataFrame,
     root: str,
@@ -86,8 +93,9 @@ def write_shards(
         writer.partitionBy(*partition).parquet(to)
 
     if split is None:
+        before = _writes(spark, root) if known else set()
         save(df, root, "split")
-        done = [r.split for r in spark.read.parquet(root).select(F.col("split").cast("string")).distinct().collect()]
+        done = sorted({name for name, _ in _writes(spark, root) - before})
     else:
         first, done = f"{root}/split={split}", [split, *copies]
         save(df.drop("split"), first)
