@@ -63,12 +63,25 @@ def read_block(path: str, start: int, end: int, size: int, cut: re.Pattern | Non
         return file.read_at(high - low, low) if low < high else b""
 
 
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+def _listed(spark: SparkSession, folder: str) -> DataFrame:
+    """The files below a folder; listed by a few tasks for each core, not by one for each subfolder."""
+    before = spark.conf.get(LISTING)
+    spark.conf.set(LISTING, str(min(int(before), 8 * spark.sparkContext.defaultParallelism)))
+    try:
+        return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    finally:
+        spark.conf.set(LISTING, before)
+
+
 def scan_text_blocks(spark: SparkSession, folder: str, cuts: str | None = "blank", block: int = BLOCK_BYTES) -> DataFrame:
     """``(file_path, file_block_start, is_last, text)``: the blocks of a folder's files, in the order of paths
     and places along tasks. A block's ``text`` may be empty. Spark
     scans no empty files, so these have no block. The
     listing is staged; the caller's job deletes it."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    files = _listed(spark, folder)
     files = files.select(F.col("_metadata.file_path").alias("file_path"), "path", "length")
     step = block if cuts else 1 << 62
     starts = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(step).cast("bigint"))
