@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corploom.functions.tokenizers import BpeTokenizer, byte_symbols
+from corploom.functions.unigram import UnigramTokenizer
 from corploom.operators.instructions import instruction_rows
 from corploom.operators.ordering import rank_in_group
 from corploom.session import scratch_path
@@ -58,6 +59,50 @@ t ion
 . Ċ
 """.split("\n")[1:-1]
 
+# A small hand-made list of pieces, the likeliest first.
+SMALL_PIECES = """
+▁
+▁the
+▁de
+▁la
+▁und
+s
+ing
+▁a
+er
+en
+tion
+▁s
+e
+n
+t
+on
+in
+▁of
+qu
+ent
+re
+▁der
+a
+i
+o
+r
+th
+▁in
+ou
+l
+d
+u
+c
+m
+p
+é
+ion
+es
+▁re
+ü
+""".split("\n")[1:-1]
+
 _made: dict[tuple, str] = {}
 
 
@@ -200,3 +245,10 @@ def small_merge_ids() -> list[tuple[int, int, int]]:
     """(left id, right id, merged id) in merge order."""
     vocab = json.loads(small_bpe().vocab_json)
     return [(vocab[a], vocab[b], vocab[a + b]) for a, b in (m.split(" ") for m in SMALL_MERGES)]
+
+
+def small_unigram() -> UnigramTokenizer:
+    """Control pieces, the bytes, then the pieces above with falling scores; letters beyond them are bytes."""
+    lines = ["<unk>\t0", "<s>\t0", "</s>\t0", *(f"<0x{b:02X}>\t0" for b in range(256))]
+    lines += [f"{piece}\t{-2 - rank / 8}" for rank, piece in enumerate(SMALL_PIECES)]
+    return UnigramTokenizer("\n".join(lines))

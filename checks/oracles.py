@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.fixtures import DOCS_PER_FILE, SMALL_MERGES, small_merge_ids
+from checks.fixtures import DOCS_PER_FILE, SMALL_MERGES, small_merge_ids, small_unigram
 from checks.queries import FINETUNE, PAIR_LEN, PRETRAIN, SEQ_LEN
 from corploom.functions.arrays import IGNORE_LABEL
 from corploom.functions.tokenizers import BYTES_EOS, DEFAULT_EOS_TEXT, WORD_VOCAB
@@ -40,6 +40,35 @@ BYTES = f"SELECT doc_id, {byte_ids('text')} AS ids FROM documents"
 BYTES_EOS_SQL = f"SELECT doc_id, list_append({byte_ids('text')}, {BYTES_EOS}) AS ids FROM documents"
 
 
+def pieces() -> str:
+    """The best path of each distinct part, place by place, then its ids from the end to the front."""
+    tok = small_unigram()
+    known = ", ".join(f"('{piece}', {{'id': {number}, 'score': {score}}})" for piece, (number, score) in tok.pieces.items())
+    longest = max(map(len, tok.pieces))
+    return rf"""WITH RECURSIVE known AS (SELECT map_from_entries([{known}]) AS m),
+    texts AS (SELECT doc_id, regexp_extract_all(CASE WHEN text = '' THEN '' ELSE '▁' || replace(text, ' ', '▁') END, '▁?[^▁]+|▁') AS parts
+        FROM documents WHERE text IS NOT NULL),
+    words AS (SELECT DISTINCT unnest(parts) AS w FROM texts),
+    walk AS (SELECT w, 0 AS spot, [CAST(0 AS BIGINT)] AS sums, CAST([] AS INTEGER[]) AS starts FROM words
+        UNION ALL
+        SELECT w, spot + 1, list_append(sums, found.score), list_append(starts, found.start) FROM (
+            SELECT w, spot, sums, starts, list_reduce(list_filter(list_transform(range(greatest(0, spot + 1 - {longest}), spot + 1), lambda s:
+                {{'start': CAST(s AS INTEGER), 'score': sums[s + 1] + coalesce(m[substr(w, s + 1, spot + 1 - s)].score,
+                    CASE WHEN s = spot THEN {tok.floor} END)}}), lambda c: c.score IS NOT NULL),
+                lambda a, b: CASE WHEN b.score > a.score THEN b ELSE a END) AS found
+            FROM walk, known WHERE spot < length(w)) step),
+    back AS (SELECT w, starts, length(w) AS spot, CAST([] AS INTEGER[]) AS ids FROM walk WHERE spot = length(w)
+        UNION ALL
+        SELECT w, starts, starts[spot], list_concat(CASE WHEN m[substr(w, starts[spot] + 1, spot - starts[spot])].id IS NOT NULL
+            THEN [m[substr(w, starts[spot] + 1, spot - starts[spot])].id]
+            ELSE list_transform(regexp_extract_all(hex(encode(substr(w, spot, 1))), '..'), lambda h: {tok.bytes_from} + CAST('0x' || h AS INTEGER)) END, ids)
+        FROM back, known WHERE spot > 0),
+    coded AS (SELECT w, ids FROM back WHERE spot = 0),
+    laid AS (SELECT doc_id, unnest(parts) AS w, generate_subscripts(parts, 1) AS i FROM texts)
+    SELECT t.doc_id, coalesce(x.ids, []) AS ids FROM texts t
+    LEFT JOIN (SELECT doc_id, flatten(list(ids ORDER BY i)) AS ids FROM laid JOIN coded USING (w) GROUP BY doc_id) x USING (doc_id)"""
+
+
 def bpe(eos: bool) -> str:
     """Pre-tokens, their bytes as <id> marks, then one replacement per merge.
 
@@ -305,6 +334,7 @@ ORACLES = {
     "tokenize_words": tokens_out(WORDS),
     "tokenize_bytes": tokens_out(BYTES),
     "tokenize_bpe": tokens_out(bpe(eos=False)),
+    "tokenize_pieces": tokens_out(pieces()),
     "append_eos_text": tokens_out(WORDS_EOS_TEXT),
     "append_eos_id": tokens_out(WORDS_EOS),
     "append_eod": tokens_out(BYTES_EOS_SQL),

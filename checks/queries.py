@@ -37,6 +37,7 @@ FINETUNE = Recipe(
 )
 
 register_tokenizer("bpe", fx.small_bpe)
+register_tokenizer("pieces", fx.small_unigram)
 
 
 def text_of(col: Column | str) -> Column:
@@ -688,4 +689,4 @@ QUERIES = {
         finetune_from_shards, finetune_trimmed, finetune_evaluation_plan,
     )
 }
-QUERIES |= {f"tokenize_{name}": partial(tokenize_with, name) for name in ("words", "bytes", "bpe")}
+QUERIES |= {f"tokenize_{name}": partial(tokenize_with, name) for name in ("words", "bytes", "bpe", "pieces")}
