@@ -7,13 +7,17 @@ functions write the whole tables in those forms, once per session and folder.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from functools import wraps
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corploom.functions.tokenizers import BpeTokenizer, byte_symbols
 from corploom.functions.unigram import UnigramTokenizer
+from corploom.llm.frames import file_system
 from corploom.operators.instructions import instruction_rows
 from corploom.operators.ordering import rank_in_group
 from corploom.session import scratch_path
@@ -150,12 +154,35 @@ def mixed_jsonl(spark, sf, out):
     spread(good.union(bad)).write.text(out)
 
 
+FILES_PER_FOLDER = 1000
+
+
+def text_file(doc_id: int) -> tuple[str, str]:
+    """Folder and first part of the name of a document's file; paths are in the order of ``doc_id``."""
+    return f"part={doc_id // FILES_PER_FOLDER:012d}", f"doc={doc_id:012d}"
+
+
 @_once
 def text_folder(spark, sf, out):
+    """A file of each document, written by the tasks themselves: Spark's writer would make a folder
+    for each and move them one by one at the end. A task that runs again writes the same names."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = file_system(out)
+        task, made, n = TaskContext.get().partitionId(), set(), 0
+        for batch in batches:
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                folder, name = ("part=none", "doc=none") if doc_id is None else text_file(doc_id)
+                if folder not in made:
+                    system.create_dir(f"{root}/{folder}", recursive=True)
+                    made.add(folder)
+                with system.open_output_stream(f"{root}/{folder}/{name}-{task}-{n}.txt", compression=None) as file:
+                    file.write(f"{text or ''}\n".encode())
+                n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
     docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
-    docs.withColumn("doc", F.lpad(F.col("doc_id").cast("string"), 12, "0")).select(
-        "doc", "text"
-    ).write.partitionBy("doc").text(out)
+    docs.mapInArrow(write, "n bigint").agg(F.sum("n")).collect()
 
 
 DOCS_PER_FILE = 400

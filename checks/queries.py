@@ -86,7 +86,7 @@ def scan_order(spark, sf):
 
 
 def doc_of_path(path: str) -> Column:
-    return F.regexp_extract(path, r"doc=(\d+)/", 1).cast("bigint")
+    return F.regexp_extract(path, r"/doc=(\d+)-[^/]*$", 1).cast("bigint")
 
 
 def scan_text_folder(spark, sf):

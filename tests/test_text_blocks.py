@@ -172,3 +172,18 @@ def test_a_long_part_is_quick():
     start = time.perf_counter()
     merged("".join(rng.choice("abcdefgh") for _ in range(100_000)), ranks)
     assert time.perf_counter() - start < 4
+
+
+def test_a_text_folder_has_few_folders(spark, tmp_path):
+    """A folder for each file made listing and moving them the whole job."""
+    from checks import fixtures, queries
+    from corploom.sources.readers import scan_text
+
+    rows = [(i, f"text {i}") for i in range(0, 2100, 7)] + [(7, "text 7"), (7, "other"), (14, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    root = fixtures.text_folder(spark, str(tmp_path))
+    read = scan_text(spark, root)
+    got = read.select(queries.doc_of_path("file_path").alias("doc_id"), "text", "file_path").collect()
+    assert sorted((r.doc_id, r.text) for r in got) == sorted((i, f"{t or ''}\n") for i, t in rows)
+    assert len({r.file_path.rsplit("/", 1)[0] for r in got}) == 3
+    assert [r.doc_id for r in sorted(got, key=lambda r: r.file_path)] == sorted(i for i, _ in rows)
