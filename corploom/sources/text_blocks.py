@@ -29,6 +29,7 @@ from corploom.session import stage
 BLOCK_BYTES = 16 << 20
 TASK_BYTES = 64 << 20
 STEP = 1 << 16
+BATCH_BYTES = 1 << 20
 CUTS = {"blank": re.compile(rb"(?<=[\x21-\x7e])[ \t\n\r]"), "char": re.compile(rb"[\x00-\x7f\xc0-\xff]")}
 BLOCK = "file_path string, file_block_start bigint, is_last boolean, text binary"
 
@@ -96,12 +97,18 @@ def scan_text_blocks(spark: SparkSession, folder: str, cuts: str | None = "blank
     cut = CUTS[cuts] if cuts else None
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.string(), pa.int64(), pa.bool_(), pa.binary()]
+        names = ["file_path", "file_block_start", "is_last", "text"]
         for batch in batches:
+            rows, held = [], 0  # small files go on together
             for name, path, start, end, size in zip(*(column.to_pylist() for column in batch.columns)):
-                row = [[name], [start], [end == size], [read_block(path, start, end, size, cut)]]
-                types = [pa.string(), pa.int64(), pa.bool_(), pa.binary()]
-                names = ["file_path", "file_block_start", "is_last", "text"]
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names)
+                rows.append((name, start, end == size, read_block(path, start, end, size, cut)))
+                held += len(rows[-1][-1])
+                if held >= BATCH_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), types)], names)
+                    rows, held = [], 0
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), types)], names)
 
     blocks = dealt.select("file_path", "path", "start", "end", "length").mapInArrow(read, BLOCK)
     return blocks.withColumn("text", F.col("text").cast("string"))
