@@ -22,6 +22,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corploom.functions.workers import frugal, in_slices
+
 # Fixed values.
 WORD_VOCAB = 50_000  # ids of the "words" tokenizer are below this; its EOS id is this
 BYTES_EOS = 256
@@ -31,7 +33,7 @@ BPE_PARTS = (
     r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 
-CACHE_LIMIT = 1_000_000  # distinct words a worker remembers before it starts over
+CACHE_LIMIT = 100_000  # distinct words a worker remembers before it starts over
 
 
 def _lists(lengths, values, nulls) -> pa.ListArray:
@@ -225,9 +227,9 @@ def tokens_of(text: Column | str, tok="words") -> Column:
     def encode_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = chosen.encoder()  # once per task; vocabularies travel with the task binary
         for rows in batches:
-            yield encode(rows)
+            yield pa.concat_arrays([encode(few) for few in in_slices(rows)])
 
-    return F.arrow_udf(encode_batches, "array<int>")(chosen.parts(text))
+    return F.arrow_udf(frugal(encode_batches), "array<int>")(chosen.parts(text))
 
 
 def literal_ids(spark: SparkSession, text: str, tok="words") -> list[int]:

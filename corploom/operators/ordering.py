@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corploom.functions.numbers import int_div
+from corploom.functions.workers import frugal
 from corploom.session import stage
 
 MAX_SLOTS = 1 << 17
@@ -79,7 +80,7 @@ def slot_of(key: Column | str, cuts: list) -> Column:
             found = np.searchsorted(edges, keys.to_numpy(zero_copy_only=False), side="right")
             yield pa.array(found.astype(np.int32))
 
-    return F.arrow_udf(locate, "int")(key)
+    return F.arrow_udf(frugal(locate), "int")(key)
 
 
 def _starts(
@@ -204,7 +205,7 @@ def in_scan_order(tokens: DataFrame, label: str = "scanned") -> DataFrame:
             more = [pa.array(sizes.astype(np.int32)), pa.array(before), pa.array(rows)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*names, "n_tokens", "_before", "_row"])
 
-    written = stage(tokens.mapInArrow(count, kinds.replace(":", " ") + ",n_tokens int,_before bigint,_row bigint"), label)
+    written = stage(tokens.mapInArrow(frugal(count), kinds.replace(":", " ") + ",n_tokens int,_before bigint,_row bigint"), label)
     block = ["file_path", "file_block_start"]
     here = [F.sum("n_tokens").alias("_toks"), F.count("tokens").alias("_docs")]
     sums = written.groupBy(*block).agg(*here)

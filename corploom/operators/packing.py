@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corploom.functions.numbers import int_div
+from corploom.functions.workers import frugal
 from corploom.operators.ordering import placed
 
 
@@ -128,7 +129,7 @@ def pack_in_order(
     )
     at_an_end = docs.where((at < head_to) | (end > tail_from))
     pieces = at_an_end.select(F.inline(F.array(head, tail))).where(F.size("tokens") > 0)
-    inner = docs.select("tok_offset", "tokens", "slot_from").mapInArrow(cut, SAMPLE)
+    inner = docs.select("tok_offset", "tokens", "slot_from").mapInArrow(frugal(cut), SAMPLE)
     samples = inner.unionByName(_join_pieces(pieces, seq_len, keep_tail))
     if not group:
         return samples
@@ -158,8 +159,8 @@ def pack(df: DataFrame, seq_len: int, keep_tail: bool = False) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["sample_id", "at", "tokens"])
 
     stream = df.select("tok_offset", "tokens")
-    inner = stream.mapInArrow(whole, SAMPLE)
-    ends = stream.mapInArrow(pieces, "sample_id bigint, at bigint, tokens array<int>")
+    inner = stream.mapInArrow(frugal(whole), SAMPLE)
+    ends = stream.mapInArrow(frugal(pieces), "sample_id bigint, at bigint, tokens array<int>")
     return inner.unionByName(_join_pieces(ends, seq_len, keep_tail))
 
 
