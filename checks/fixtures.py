@@ -140,11 +140,15 @@ def documents_jsonl(spark, sf, out):
     docs.write.json(out)
 
 
+DOCS_PER_RANGE = 10_000
+
+
 @_once
 def plain_jsonl(spark, sf, out):
     """Lines without an id; files and lines are in the order of ``doc_id``."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    docs.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").select("text").write.json(out)
+    files = max(4, -(-docs.count() // DOCS_PER_RANGE))
+    docs.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id").select("text").write.json(out)
 
 
 @_once

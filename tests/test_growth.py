@@ -1,8 +1,11 @@
 """What a task or a worker holds does not grow with the tables."""
 
+import glob
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from checks import fixtures, queries
 from corploom.functions.tokenizers import ByteTokenizer, tokens_of
 from corploom.functions.workers import PART_BYTES, in_slices
 
@@ -32,3 +35,13 @@ def test_slices_hold_all_rows():
     for size in (1, 100, 1 << 20):
         assert pa.concat_arrays(list(in_slices(rows, size))).equals(rows)
     assert [len(s) for s in in_slices(rows.slice(0, 0))] == [0]
+
+
+def test_plain_lines_have_more_files_for_more_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fixtures, "DOCS_PER_RANGE", 10)
+    rows = [(i * 37 % 101, f"text {i * 37 % 101}") for i in range(101)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = fixtures.plain_jsonl(spark, str(tmp_path))
+    assert len(glob.glob(f"{out}/part-*")) > 6
+    read = queries.scan_order(spark, str(tmp_path)).orderBy("rank").collect()
+    assert [r.text for r in read] == [f"text {i}" for i in range(101)]
