@@ -20,7 +20,7 @@ from corploom.functions.unigram import UnigramTokenizer
 from corploom.llm.frames import file_system
 from corploom.operators.instructions import instruction_rows
 from corploom.operators.ordering import rank_in_group
-from corploom.session import scratch_path
+from corploom.session import scratch_path, stage
 from corploom.streaming.metrics import TIME_FORMAT
 
 # A small hand-made merge list for the byte-level BPE checks.
@@ -248,14 +248,26 @@ def log_lines(spark: SparkSession, sf: str) -> DataFrame:
     return ranked.select(F.when(F.col("event_type") == "error", note).otherwise(metric).alias("value"), "ts", "event_id")
 
 
+LINES_PER_FILE = 2_000_000
+
+
 @_once
 def growing_log(spark, sf, out):
-    """The log as four files, one after the other in time, wherever that cuts a batch."""
-    lines = log_lines(spark, sf)
+    """The log in four steps, one after the other in time, wherever that cuts a batch: a file each, or as many
+    in each as the longest needs."""
+    lines = stage(log_lines(spark, sf), "log-lines")
     edges = lines.select(F.expr("percentile_approx(unix_micros(cast(ts AS timestamp)), array(0.25, 0.5, 0.75))")).first()[0]
     part = sum((F.unix_micros(F.col("ts").cast("timestamp")) > e).cast("int") for e in edges)
+    steps = lines.groupBy(part.alias("step")).count().collect()
+    files = max(1, *(-(-r["count"] // LINES_PER_FILE) for r in steps)) if steps else 1
     for i in range(4):
-        lines.where(part == i).orderBy("ts", "event_id").select("value").coalesce(1).write.mode("append").text(out)
+        rows = lines.where(part == i).repartition(files).sortWithinPartitions("ts", "event_id")
+        rows.select("value").write.mode("append").text(out)
+
+
+def files_per_step(spark: SparkSession, log: str) -> int:
+    """How many files of a :func:`growing_log` came at once."""
+    return max(1, len(spark.read.text(log).inputFiles()) // 4)
 
 
 @_once

@@ -522,9 +522,15 @@ def followed(spark, stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def followed_log(spark, sf) -> DataFrame:
+    """The log as it grows, a step for each trigger."""
+    log = fx.growing_log(spark, sf)
+    return readers.follow_logs(spark, log, files_per_trigger=fx.files_per_step(spark, log))
+
+
 def follow_metrics(spark, sf):
     """Followed file by file; the windows still open at the end are there too."""
-    rows = metrics.metric_rows(readers.follow_logs(spark, fx.growing_log(spark, sf), files_per_trigger=1))
+    rows = metrics.metric_rows(followed_log(spark, sf))
     out = scratch_path(spark, "follow-metrics")
     follow.follow_windows(rows, out, f"{out}-checkpoint", "6 hours", available_now=True).awaitTermination()
     done = follow.read_windows(spark, out)
@@ -533,7 +539,7 @@ def follow_metrics(spark, sf):
 
 def follow_rolling(spark, sf):
     """Followed file by file, with batches cut by the ends of files."""
-    rows = metrics.metric_rows(readers.follow_logs(spark, fx.growing_log(spark, sf), files_per_trigger=1))
+    rows = metrics.metric_rows(followed_log(spark, sf))
     out = scratch_path(spark, "follow-rolling")
     query = follow.follow_rolling(
         rows, out, f"{out}-state", f"{out}-checkpoint", available_now=True
@@ -545,7 +551,7 @@ def follow_rolling(spark, sf):
 
 def rolling_in_state(spark, sf):
     """The rates of a followed log that grows by quarters, from the state store."""
-    rows = metrics.metric_rows(readers.follow_logs(spark, fx.growing_log(spark, sf), files_per_trigger=1))
+    rows = metrics.metric_rows(followed_log(spark, sf))
     out = scratch_path(spark, "rolling-in-state")
     rolling_state.follow_rolling_state(rows, out, f"{out}-checkpoint", available_now=True).awaitTermination()
     return speed_columns(rolling_state.read_rolling(spark, out))

@@ -45,3 +45,15 @@ def test_plain_lines_have_more_files_for_more_rows(spark, tmp_path, monkeypatch)
     assert len(glob.glob(f"{out}/part-*")) > 6
     read = queries.scan_order(spark, str(tmp_path)).orderBy("rank").collect()
     assert [r.text for r in read] == [f"text {i}" for i in range(101)]
+
+
+def test_a_log_grows_by_more_files_and_the_rates_stay(spark, sf, monkeypatch):
+    monkeypatch.setattr(fixtures, "LINES_PER_FILE", 100)
+    monkeypatch.setattr(fixtures, "_made", {})
+    assert fixtures.files_per_step(spark, fixtures.growing_log(spark, sf)) > 1
+    got = queries.follow_rolling(spark, sf)
+    want = queries.rolling_speed(spark, sf)
+    key = ["run_id", "batch"]
+    assert sorted(r[:5] for r in got.select(*key, "ts_us", "tokens", "tokens_per_sec").fillna(-1).collect()) == sorted(
+        r[:5] for r in want.select(*key, "ts_us", "tokens", "tokens_per_sec").fillna(-1).collect()
+    )
