@@ -130,8 +130,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """The given tables are single files; share their rows between the cores."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    """The given tables are single files; share their rows between the cores. A table with a file for
+    each core is read as it lies, so that its texts are not shuffled only to be spread."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
 
 
 @_once

@@ -120,3 +120,15 @@ def test_short_run_sorts_few_rows(spark):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.index("Window [row_number") < text.index("BroadcastHashJoin")
     assert plan.count() == 16
+
+
+def test_tables_of_many_files_are_not_spread(spark, tmp_path):
+    from checks.fixtures import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    for files in (1, cores):
+        spark.range(1000).repartition(files).write.parquet(f"{tmp_path}/{files}")
+        read = spark.read.parquet(f"{tmp_path}/{files}")
+        plan = spread(read)._jdf.queryExecution().executedPlan().toString()
+        assert ("Exchange" in plan) == (files == 1)
+        assert spread(read).count() == 1000
