@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corploom.session import stage
+from corploom.sources.text_blocks import arrow_reads, list_files, scan_text_blocks
 
 BAD_RECORD = "_bad_record"
 
@@ -59,12 +62,21 @@ def fix_scan_order(df: DataFrame, out: str = "ord") -> DataFrame:
 
 
 def scan_text(spark: SparkSession, folder: str) -> DataFrame:
-    """Text folder, one row per file: ``(file_path, text)``."""
-    return (
-        spark.read.option("recursiveFileLookup", "true")
-        .text(folder, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("text"))
-    )
+    """Text folder, one row per file: ``(file_path, text)``. Files are listed and read by tasks, however many they are; Spark
+    reads those of file systems Arrow does not know and the few kinds packed as Arrow cannot unpack them. The
+    listing is staged; the caller's job deletes it."""
+    if not arrow_reads(spark, folder):
+        return _wholetext(spark, [folder])
+    files = list_files(spark, folder)
+    other = F.col("path").rlike(r"\.(deflate|lz4|snappy)$")
+    rows = scan_text_blocks(spark, folder, None, files=files.where(~other), unpack=True).select("file_path", "text")
+    rest = [re.sub(r"([\\*?\[\]{}])", r"\\\1", r.path) for r in files.where(other).select("path").collect()]
+    return rows.unionByName(_wholetext(spark, rest)) if rest else rows
+
+
+def _wholetext(spark: SparkSession, paths: list[str]) -> DataFrame:
+    rows = spark.read.option("recursiveFileLookup", "true").text(paths, wholetext=True)
+    return rows.select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("text"))
 
 
 def scan_dataset(

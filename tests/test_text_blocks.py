@@ -187,3 +187,33 @@ def test_a_text_folder_has_few_folders(spark, tmp_path):
     assert sorted((r.doc_id, r.text) for r in got) == sorted((i, f"{t or ''}\n") for i, t in rows)
     assert len({r.file_path.rsplit("/", 1)[0] for r in got}) == 3
     assert [r.doc_id for r in sorted(got, key=lambda r: r.file_path)] == sorted(i for i, _ in rows)
+
+
+def test_files_are_listed_by_tasks(spark, tmp_path, monkeypatch):
+    """As Spark lists and reads them, but no name comes to the driver."""
+    import gzip
+
+    from corploom.sources import text_blocks as at
+    from corploom.sources.readers import scan_text
+
+    names = ("a.txt", "b c.txt", "é%41.txt", "x=1&[y]{z}.txt", "_hidden", ".dot", "_k=v", "漢　.txt", "n._COPYING_")
+    for folder in ("", "p=1", "p=1/q r", "_no", "é"):
+        (tmp_path / folder).mkdir(exist_ok=True, parents=True)
+        for name in names:
+            (tmp_path / folder / name).write_text(f"{folder} {name}\nline\r\n ü")
+    (tmp_path / "empty.txt").touch()
+    (tmp_path / "p.txt.gz").write_bytes(gzip.compress(b"one\n") + gzip.compress(b"two"))
+    (tmp_path / "nothing.gz").write_bytes(gzip.compress(b""))
+    folder = str(tmp_path)
+    spark_files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    want = spark_files.where("length > 0").select(F.col("_metadata.file_path").alias("file_path"), "path", "length").collect()
+    monkeypatch.setattr(at, "LISTED", 2)
+    files = at.list_files(spark, folder)
+    assert sorted(files.collect()) == sorted(want) and len(want) == 4 * 6 + 2
+    assert "mapInArrow" not in files._jdf.queryExecution().toString() and not any(name.endswith(".txt") for name in files.inputFiles())
+    whole = spark.read.option("recursiveFileLookup", "true").text(folder, wholetext=True)
+    rows = scan_text(spark, folder)
+    assert sorted(rows.collect()) == sorted(whole.select("_metadata.file_path", "value").collect())
+    assert not any(name.endswith((".txt", ".gz")) for name in rows.inputFiles())
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        scan_text(spark, f"{folder}/none")
